@@ -1,0 +1 @@
+"""Empty on purpose: the engine covers batch work only, there is no streaming operator to rebuild."""
