@@ -76,12 +76,17 @@ def text_lags(df: DataFrame, keys: Sequence[str], order: str, text: str, bucket:
 
 
 def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, term, tf) over words and word pairs."""
-    grams = df.select(key, tokens(text).alias("_w")).select(key, F.explode(unigrams_bigrams("_w")).alias("term"))
-    return grams.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    """(key, term, tf) over words and word pairs.
+
+    Texts are spread by key before they are split: that moves each text once, where grouping the split terms would move
+    every term with its key, and it balances the splitting itself.
+    """
+    words = df.select(key, text).repartition(key).select(key, tokens(text).alias("_w"))
+    return words.select(key, F.explode(unigrams_bigrams("_w")).alias("term")).groupBy(key, "term").agg(
+        F.count(F.lit(1)).alias("tf"))
 
 
-def fit_idf(counts: DataFrame, key: str, n_docs: int) -> DataFrame:
+def fit_idf(counts: DataFrame, n_docs: int) -> DataFrame:
     """(term, idf) with idf = ln((1 + n) / (1 + df)) + 1."""
     return counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select(
         "term", F.expr(f"ln((1D + {n_docs}) / (1D + df)) + 1D").alias("idf"))
@@ -90,12 +95,12 @@ def fit_idf(counts: DataFrame, key: str, n_docs: int) -> DataFrame:
 def tfidf(counts: DataFrame, idf: DataFrame, key: str) -> DataFrame:
     """(key, term, weight) with weight (1 + ln tf) * idf, scaled to unit length per text; unseen terms drop out.
 
-    The join spreads by term. Adaptive execution broadcasts the vocabulary while it is small and splits frequent terms
-    otherwise.
+    Adaptive execution broadcasts the vocabulary while it is small and splits frequent terms otherwise. The length is a
+    window over the terms of one text.
     """
     raw = counts.join(idf, "term").select(key, "term", F.expr("(1D + ln(tf)) * idf").alias("_w"))
-    norms = raw.groupBy(key).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm"))
-    return raw.join(norms, key).select(key, "term", (F.col("_w") / F.col("_norm")).alias("weight"))
+    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))
+    return raw.select(key, "term", (F.col("_w") / norm).alias("weight"))
 
 
 def batch_text_score(df: DataFrame, text: str, keep: Sequence[str], make_predict: Callable[[], Callable],

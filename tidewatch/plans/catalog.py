@@ -47,9 +47,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-def rounded(df: DataFrame, digits: int = 9) -> DataFrame:
-    """Floating columns rounded, with negative zero made positive, so that two engines print the same."""
-    return df.select(*[(F.round(c, digits) + 0.0).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+def rounded(df: DataFrame) -> DataFrame:
+    """Floating columns rounded, with negative zero made positive, so that two engines print the same.
+
+    Elapsed hours get more digits: whole microseconds divided by an hour would otherwise end exactly between two."""
+    return df.select(*[(F.round(c, O.digits(c)) + 0.0).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
 # --- shared inputs ----------------------------------------------------------------------------------------------------
@@ -389,8 +391,8 @@ def horizon_label(spark, d):
 
 
 @query("elapsed_hours", f"""
-WITH {O.GRID}, {ANCHORS} SELECT g.user_id, g.t, round((epoch_us(t) - epoch_us(lo)) / 3.6e9, 9) + 0.0 AS since_start,
-  round((epoch_us(t) - epoch_us(q)) / 3.6e9, 9) + 0.0 AS since_anchor
+WITH {O.GRID}, {ANCHORS} SELECT g.user_id, g.t, round((epoch_us(t) - epoch_us(lo)) / 3.6e9, 11) + 0.0 AS since_start,
+  round((epoch_us(t) - epoch_us(q)) / 3.6e9, 11) + 0.0 AS since_anchor
 FROM grid g JOIN bounds USING (user_id) LEFT JOIN anchors ON anchors.user_id = g.user_id""")
 def elapsed_hours(spark, d):
     starts = C.range_by_group(load(spark, d, "events"), ["user_id"], "ts", "lo", "hi")
@@ -709,7 +711,7 @@ def truncate_tokens(spark, d):
 @query("tfidf_exact", r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(strip_accents(lower(text)), '[\p{L}\p{N}_]{2,}') AS w FROM documents),
 grams AS (SELECT doc_id, unnest(w) AS term FROM w UNION ALL
-  SELECT doc_id, unnest(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])) FROM w),
+  SELECT doc_id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM w),
 c AS (SELECT doc_id, term, count(*) AS tf FROM grams GROUP BY doc_id, term),
 i AS (SELECT term, ln((1.0 + (SELECT count(*) FROM documents)) / (1.0 + count(*))) + 1.0 AS idf FROM c GROUP BY term),
 r AS (SELECT doc_id, term, (1.0 + ln(tf)) * idf AS x FROM c JOIN i USING (term)),
@@ -718,7 +720,7 @@ SELECT doc_id, term, round(x / norm, 9) AS weight FROM r JOIN n USING (doc_id)""
 def tfidf_exact(spark, d):
     docs = load(spark, d, "documents")
     counts = TX.term_counts(docs, "doc_id", "text")
-    return rounded(TX.tfidf(counts, TX.fit_idf(counts, "doc_id", docs.count()), "doc_id"))
+    return rounded(TX.tfidf(counts, TX.fit_idf(counts, docs.count()), "doc_id"))
 
 
 def _length_model() -> Callable:

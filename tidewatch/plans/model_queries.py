@@ -36,11 +36,11 @@ def split(spark, d) -> tuple[DataFrame, DataFrame]:
 
 
 def gbt() -> MO.Fit:
-    return MO.gbt_classifier(TABULAR, CATEGORIES, maxIter=4, maxDepth=4)
+    return MO.gbt_classifier(TABULAR, CATEGORIES, maxIter=3, maxDepth=4)
 
 
 def text_model() -> MO.Fit:
-    return MO.text_logistic("text", max_iter=30, buckets=1 << 18)
+    return MO.text_logistic("text", max_iter=15, buckets=1 << 16)
 
 
 def fusion_lr(columns) -> MO.Fit:

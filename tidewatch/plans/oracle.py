@@ -221,5 +221,9 @@ def job(*parts: str) -> str:
     return "WITH " + ",\n".join([TABLES, *parts])
 
 
-def rounded(columns, doubles, digits: int = 9) -> str:
-    return ", ".join(f"round({c}, {digits}) + 0.0 AS {c}" if c in doubles else c for c in columns)
+def digits(column: str) -> int:
+    return 11 if "since" in column else 9
+
+
+def rounded(columns, doubles) -> str:
+    return ", ".join(f"round({c}, {digits(c)}) + 0.0 AS {c}" if c in doubles else c for c in columns)

@@ -12,8 +12,9 @@ NOTE_COLUMNS = ("subject_id", "hadm_id", "icustay_id", "t", "notes_24h", "label6
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Table with a header; the word NULL is missing, quoted fields may span lines, times are zone-less."""
-    return spark.read.csv(path, schema=schema, header=True, nullValue="NULL", multiLine=True, escape='"',
-                          timestampNTZFormat="yyyy-MM-dd HH:mm:ss[.SSSSSS]", mode="FAILFAST")
+    options = {"header": True, "nullValue": "NULL", "multiLine": True, "escape": '"', "mode": "FAILFAST",
+               "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]"}
+    return spark.read.options(**options).schema(schema).csv(path)
 
 
 def read_notes(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
