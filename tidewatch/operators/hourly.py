@@ -3,11 +3,12 @@
 Grid points lie on full hours and every lookback is a whole number of hours, so "t - w < ts <= t" depends only on the
 first full hour at or after ts. Events therefore collapse to one cell per entity and hour before anything is ordered:
 
-    grid + events + interval edges -> group by (entity, hour) -> window per entity
+    events + interval edges -> group by (entity, hour) -> cells
+    cells + grid            -> window per entity
 
 The grouping runs map-side first and then spreads by (entity, hour), so an entity with a third of all events reaches the
-window as at most one row per calendar hour (8 784 a year), whatever its event count. All signals of all sources share
-these two exchanges.
+window as at most one cell per calendar hour (8 784 a year), whatever its event count. All signals of all sources share
+these two exchanges, and grid rows pass only the second.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.clock import HOUR_US, from_hour, hour_ceil, hour_floor, micros
+from tidewatch.functions.clock import HOUR_US, floor_div, from_hour, hour_ceil, hour_floor, micros
 
 AMOUNT_UNIT = 1e6  # amounts are summed as whole millionths, so sums are exact and independent of order
 
@@ -99,8 +100,9 @@ def hourly_state(grid: DataFrame, keys: Sequence[str], sources: dict[str, Events
                  signals: Sequence[Signal], t: str = "t") -> DataFrame:
     """(keys, t) of the grid with one column per signal.
 
-    The result is partitioned by the keys and sorted by (keys, hour): lags and rolling windows over (keys, `_h`) and
-    equi-joins on the keys add no exchange.
+    The result is partitioned by the keys and sorted by (keys, `_h`): lags and rolling windows over (keys, `_h`) and
+    equi-joins on the keys add no exchange. `_h` is 2 * hour for a cell and 2 * hour + 1 for a grid row, which puts the
+    cell of an hour in front of the grid row that may see it.
     """
     keys = list(keys)
     codes: dict[tuple[str, str | None], int] = {}
@@ -108,7 +110,8 @@ def hourly_state(grid: DataFrame, keys: Sequence[str], sources: dict[str, Events
         for source in _sources_of(s):
             codes.setdefault((source, getattr(s, "kind", None)), len(codes))
 
-    feeds = [grid.select(*keys, hour_floor(t).alias("_h"), F.lit(1).alias("_grid"))]
+    points = grid.select(*keys, (hour_floor(t) * 2 + 1).alias("_h"), F.lit(True).alias("_grid"))
+    feeds = []
     for name, source in sources.items():
         wanted = [(kind, code) for (src, kind), code in codes.items() if src == name]
         if wanted:
@@ -116,7 +119,7 @@ def hourly_state(grid: DataFrame, keys: Sequence[str], sources: dict[str, Events
             feeds.append(feed(source, keys, wanted))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), feeds)
 
-    cells = {"_grid": "max(_grid)"}
+    cells: dict[str, str] = {}
     window = f"PARTITION BY {', '.join(keys)} ORDER BY _h"
     so_far = f"OVER ({window} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 
@@ -132,7 +135,7 @@ def hourly_state(grid: DataFrame, keys: Sequence[str], sources: dict[str, Events
         return f"{prefix}{code}"
 
     def fresh(c: str, hours: int) -> str:
-        return f"last(if({c} IS NULL, NULL, _h), true) {so_far} > _h - {hours}"
+        return f"last(if({c} IS NULL, NULL, _h), true) {so_far} > _h - {2 * hours + 1}"
 
     outputs = []
     for s in signals:
@@ -142,7 +145,7 @@ def hourly_state(grid: DataFrame, keys: Sequence[str], sources: dict[str, Events
         elif isinstance(s, Total):
             # Difference of two running sums: constant work per row, where a sliding frame would re-add each window.
             c = cell("_sum", s.source, s.kind)
-            before = f"OVER ({window} RANGE BETWEEN UNBOUNDED PRECEDING AND {s.hours} PRECEDING)"
+            before = f"OVER ({window} RANGE BETWEEN UNBOUNDED PRECEDING AND {2 * s.hours} PRECEDING)"
             amount = f"(sum({c}) {so_far} - coalesce(sum({c}) {before}, 0)) / {AMOUNT_UNIT:.0f}D"
             out = f"CASE WHEN {fresh(c, s.hours)} THEN {amount} END"
         elif isinstance(s, Seen):
@@ -152,11 +155,12 @@ def hourly_state(grid: DataFrame, keys: Sequence[str], sources: dict[str, Events
             out = f"coalesce(sum({edges}) {so_far} > 0, false)"
         outputs.append(f"{out} AS {s.name}")
 
-    merged = rows.groupBy(*keys, "_h").agg(*[F.expr(e).alias(name) for name, e in cells.items()])
+    merged = rows.groupBy(*keys, (F.col("_hour") * 2).alias("_h")).agg(*[F.expr(e).alias(name) for name, e in cells.items()])
     return (
-        merged.selectExpr(*keys, "_h", "_grid", *outputs)
-        .filter("_grid IS NOT NULL")
-        .select(*keys, from_hour("_h").alias(t), "_h", *[s.name for s in signals])
+        merged.unionByName(points, allowMissingColumns=True)
+        .selectExpr(*keys, "_h", "_grid", *outputs)
+        .filter("_grid")
+        .select(*keys, from_hour(floor_div(F.col("_h"), 2)).alias(t), "_h", *[s.name for s in signals])
     )
 
 
@@ -174,7 +178,7 @@ def pivot_latest(grid: DataFrame, keys: Sequence[str], events: Events, kinds: di
 
 
 def _event_cells(source: Events, keys: list[str], wanted: list[tuple[str | None, int]]) -> DataFrame:
-    """Long rows (keys, _h, _code, _value, _ord), one per event and matched kind."""
+    """Long rows (keys, _hour, _code, _value, _ord), one per event and matched kind."""
     ts = F.col(source.ts)
     value = F.col(source.value).cast("double") if source.value else F.lit(None).cast("double")
     whole = [code for kind, code in wanted if kind is None]
@@ -199,7 +203,7 @@ def _event_cells(source: Events, keys: list[str], wanted: list[tuple[str | None,
         order = offset * F.lit(2**31) + F.pmod(F.hash(value), F.lit(2**31))
     return (
         source.df.filter(ts.isNotNull())
-        .select(*keys, hour.alias("_h"), coded.alias("_code"), value.alias("_value"), order.alias("_ord"))
+        .select(*keys, hour.alias("_hour"), coded.alias("_code"), value.alias("_value"), order.alias("_ord"))
         .filter(F.col("_code").isNotNull())
     )
 
@@ -212,8 +216,8 @@ def _interval_edges(source: Intervals, keys: list[str], wanted: list[tuple[str |
     """
     lo, hi = hour_ceil(source.start), hour_ceil(source.end)
     edges = F.array(
-        F.struct(F.col("_lo").alias("_h"), F.lit(1).cast("long").alias("_edge")),
-        F.struct(F.col("_hi").alias("_h"), F.lit(-1).cast("long").alias("_edge")),
+        F.struct(F.col("_lo").alias("_hour"), F.lit(1).cast("long").alias("_edge")),
+        F.struct(F.col("_hi").alias("_hour"), F.lit(-1).cast("long").alias("_edge")),
     )
     return (
         source.df.select(*keys, lo.alias("_lo"), hi.alias("_hi"))
