@@ -697,7 +697,7 @@ SELECT conv_id, turn, coalesce(lag(text, 2) OVER w, '') || ' [SEP] ' || coalesce
   || text AS notes_combo FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)""")
 def text_lag_concat(spark, d):
     notes = load(spark, d, "conversations").select("conv_id", "turn", "text")
-    bucket = F.floor(F.col("turn") / 4).cast("long")
+    bucket = F.floor(F.col("turn") / 4096).cast("long")
     return TX.text_lags(notes, ["conv_id"], "turn", "text", bucket).select("conv_id", "turn", "notes_combo")
 
 

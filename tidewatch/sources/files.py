@@ -10,16 +10,20 @@ ID_SCHEMA = T.StructType([T.StructField("itemid", T.IntegerType())])
 NOTE_COLUMNS = ("subject_id", "hadm_id", "icustay_id", "t", "notes_24h", "label6h")
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Table with a header; the word NULL is missing, quoted fields may span lines, times are zone-less."""
-    options = {"header": True, "nullValue": "NULL", "multiLine": True, "escape": '"', "mode": "FAILFAST",
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False) -> DataFrame:
+    """Table with a header; the word NULL is missing, times are zone-less.
+
+    `multi_line` lets quoted fields span lines; Spark then reads each file in one task, so large exports should be many
+    files.
+    """
+    options = {"header": True, "nullValue": "NULL", "multiLine": multi_line, "escape": '"', "mode": "FAILFAST",
                "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]"}
     return spark.read.options(**options).schema(schema).csv(path)
 
 
 def read_notes(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Notes table: all contract columns present, missing text is empty."""
-    df = read_csv(spark, path, schema)
+    df = read_csv(spark, path, schema, multi_line=True)
     missing = set(NOTE_COLUMNS) - set(df.columns)
     if missing:
         raise ValueError(f"notes lack {sorted(missing)}")

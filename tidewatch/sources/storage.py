@@ -1,11 +1,13 @@
 """Intermediate tables in shared storage.
 
 The folder is the one the cluster names in `spark.checkpoint.dir`. Only a local session without that setting gets a
-temporary folder of its own.
+temporary folder of its own, removed when Python exits. Staged tables in a shared folder stay until its owner clears it.
 """
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -23,6 +25,7 @@ def shared_dir(spark: SparkSession) -> str:
     global _local_base
     if _local_base is None:
         _local_base = tempfile.mkdtemp(prefix="tidewatch-")
+        atexit.register(shutil.rmtree, _local_base, ignore_errors=True)
     return _local_base
 
 
