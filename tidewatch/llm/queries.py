@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewatch.llm import mixing, quality_forest
+from tidewatch.llm import mixing, quality_forest, toxicity
 from tidewatch.session import configure
 from tidewatch.sources.tables import load
 
@@ -13,6 +13,15 @@ def op2_source_mix(spark, sf_dir):
     return mixing.mix(load(configure(spark), sf_dir, "documents"))
 
 
+def op3_toxicity(spark, sf_dir):
+    spark = configure(spark)
+    docs = load(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    model = toxicity.fit(docs, load(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.score(docs, model).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"),
+                                              F.round("score", 9).alias("score"), "predicted")
+
+
 def op6_quality_forest(spark, sf_dir):
     spark = configure(spark)
     out = quality_forest.judge(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
@@ -20,5 +29,5 @@ def op6_quality_forest(spark, sf_dir):
                       F.round("score", 6).alias("score"))
 
 
-QUERIES = {f.__name__: f for f in (op2_source_mix, op6_quality_forest)}
+QUERIES = {f.__name__: f for f in (op2_source_mix, op3_toxicity, op6_quality_forest)}
 ORACLES: dict[str, str] = {}
