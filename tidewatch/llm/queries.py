@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewatch.llm import mixing, quality_forest, toxicity
+from tidewatch.llm import langid, mixing, quality_forest, toxicity
 from tidewatch.session import configure
 from tidewatch.sources.tables import load
 
@@ -22,6 +22,13 @@ def op3_toxicity(spark, sf_dir):
                                               F.round("score", 9).alias("score"), "predicted")
 
 
+def op4_language(spark, sf_dir):
+    docs = load(configure(spark), sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    found = langid.predict(docs, langid.fit(docs, ~held_out))
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", F.round("score", 6).alias("score"))
+
+
 def op6_quality_forest(spark, sf_dir):
     spark = configure(spark)
     out = quality_forest.judge(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
@@ -29,5 +36,5 @@ def op6_quality_forest(spark, sf_dir):
                       F.round("score", 6).alias("score"))
 
 
-QUERIES = {f.__name__: f for f in (op2_source_mix, op3_toxicity, op6_quality_forest)}
+QUERIES = {f.__name__: f for f in (op2_source_mix, op3_toxicity, op4_language, op6_quality_forest)}
 ORACLES: dict[str, str] = {}
