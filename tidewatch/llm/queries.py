@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
-from tidewatch.llm import langid, mixing, quality_forest, toxicity
+from tidewatch.llm import langid, mixing, quality_forest, sentencepiece_backend, toxicity
 from tidewatch.session import configure
 from tidewatch.sources.tables import load
 
 
+TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+
+
 def op2_source_mix(spark, sf_dir):
     return mixing.mix(load(configure(spark), sf_dir, "documents"))
 
@@ -36,5 +41,13 @@ def op6_quality_forest(spark, sf_dir):
                       F.round("score", 6).alias("score"))
 
 
-QUERIES = {f.__name__: f for f in (op2_source_mix, op3_toxicity, op4_language, op6_quality_forest)}
+def op9_sentencepiece(spark, sf_dir):
+    spark = configure(spark)
+    model = sentencepiece_backend.load_model(spark, f"{TOKENIZERS}/piece_bpe_32k.model")
+    coded = sentencepiece_backend.encode(load(spark, sf_dir, "documents"), model)
+    return coded.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"),
+                        F.xxhash64("ids").alias("ids_digest"), "round_trip", "parity")
+
+
+QUERIES = {f.__name__: f for f in (op2_source_mix, op3_toxicity, op4_language, op6_quality_forest, op9_sentencepiece)}
 ORACLES: dict[str, str] = {}
