@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from tidewatch.llm import langid, mixing, quality_forest, sentencepiece_backend, toxicity
+from tidewatch.llm import langid, mixing, quality_forest, sentencepiece_backend, topk_bitslice, toxicity
 from tidewatch.session import configure
 from tidewatch.sources.tables import load
 
@@ -14,6 +14,10 @@ from tidewatch.sources.tables import load
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 
 
+def op1_sliced_topk(spark, sf_dir):
+    return topk_bitslice.top_k(load(configure(spark), sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op2_source_mix(spark, sf_dir):
     return mixing.mix(load(configure(spark), sf_dir, "documents"))
 
@@ -49,5 +53,15 @@ def op9_sentencepiece(spark, sf_dir):
                         F.xxhash64("ids").alias("ids_digest"), "round_trip", "parity")
 
 
-QUERIES = {f.__name__: f for f in (op2_source_mix, op3_toxicity, op4_language, op6_quality_forest, op9_sentencepiece)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_sliced_topk, op2_source_mix, op3_toxicity, op4_language, op6_quality_forest, op9_sentencepiece)}
+ORACLES: dict[str, str] = {
+    "op1_sliced_topk": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) q FROM embeddings
+                   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                     AND list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false))) IS NOT FALSE),
+        d AS (SELECT vec_id, unnest(q) x, generate_subscripts(q, 1) i FROM v),
+        s AS (SELECT a.vec_id query_id, b.vec_id, CAST(sum(a.x * b.x) AS BIGINT) score FROM d a JOIN d b USING (i)
+              WHERE a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id GROUP BY 1, 2)
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) "rank", vec_id, score
+        FROM s QUALIFY "rank" <= 20""",
+}
