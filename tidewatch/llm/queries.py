@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from tidewatch.llm import langid, mixing, quality_forest, sentencepiece_backend, topk_bitslice, toxicity
+from tidewatch.llm import html_main, langid, mixing, quality_forest, sentencepiece_backend, topk_bitslice, toxicity
 from tidewatch.session import configure
 from tidewatch.sources.tables import load
 
@@ -53,7 +53,12 @@ def op9_sentencepiece(spark, sf_dir):
                         F.xxhash64("ids").alias("ids_digest"), "round_trip", "parity")
 
 
-QUERIES = {f.__name__: f for f in (op1_sliced_topk, op2_source_mix, op3_toxicity, op4_language, op6_quality_forest, op9_sentencepiece)}
+def op10_html_main(spark, sf_dir):
+    text = html_main.extract(load(configure(spark), sf_dir, "pages"))
+    return text.withColumn("n_chars", F.length("text").cast("long"))
+
+
+QUERIES = {f.__name__: f for f in (op1_sliced_topk, op2_source_mix, op3_toxicity, op4_language, op6_quality_forest, op9_sentencepiece, op10_html_main)}
 ORACLES: dict[str, str] = {
     "op1_sliced_topk": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) q FROM embeddings
