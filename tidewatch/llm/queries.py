@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from tidewatch.llm import html_main, langid, mixing, quality_forest, sentencepiece_backend, topk_bitslice, toxicity
+from tidewatch.llm import html_main, langid, mixing, ngram_join, quality_forest, sentencepiece_backend, topk_bitslice, toxicity
 from tidewatch.session import configure
 from tidewatch.sources.tables import load
 
@@ -38,6 +38,10 @@ def op4_language(spark, sf_dir):
     return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", F.round("score", 6).alias("score"))
 
 
+def op5_ngram_join(spark, sf_dir):
+    return ngram_join.join(load(configure(spark), sf_dir, "documents"))
+
+
 def op6_quality_forest(spark, sf_dir):
     spark = configure(spark)
     out = quality_forest.judge(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
@@ -58,7 +62,7 @@ def op10_html_main(spark, sf_dir):
     return text.withColumn("n_chars", F.length("text").cast("long"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sliced_topk, op2_source_mix, op3_toxicity, op4_language, op6_quality_forest, op9_sentencepiece, op10_html_main)}
+QUERIES = {f.__name__: f for f in (op1_sliced_topk, op2_source_mix, op3_toxicity, op4_language, op5_ngram_join, op6_quality_forest, op9_sentencepiece, op10_html_main)}
 ORACLES: dict[str, str] = {
     "op1_sliced_topk": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) q FROM embeddings
