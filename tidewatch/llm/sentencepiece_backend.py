@@ -188,6 +188,18 @@ class Backend:
         return [t[1:] if self.spec["dummy_prefix"] and t.startswith(" ") else t for t in out]
 
 
+_made: dict = {}
+
+
+def backend(data: bytes) -> Backend:
+    """A Backend, made once per process."""
+    key = hash(data)
+    if key not in _made:
+        _made.clear()
+        _made[key] = Backend(data)
+    return _made[key]
+
+
 def differences(data: bytes, texts) -> list[str]:
     """Texts that the rebuilt tokenizer codes or decodes unlike the original library; all fine if that is not installed."""
     try:
@@ -219,7 +231,7 @@ def encode(docs: DataFrame, model: bytes, verify: int = VERIFY) -> DataFrame:
 
     def run(batches):
         os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
-        own = Backend(shared.value)
+        own = backend(shared.value)
         other = None
         try:
             import sentencepiece
@@ -253,7 +265,7 @@ def decode(coded: DataFrame, model: bytes) -> DataFrame:
     shared = coded.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        own = Backend(shared.value)
+        own = backend(shared.value)
         for batch in batches:
             ids = batch.column(batch.schema.get_field_index("ids")).to_pylist()
             texts = iter(own.decode([i for i in ids if i is not None]))
