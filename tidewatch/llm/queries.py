@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from tidewatch.llm import html_main, langid, mixing, ngram_join, quality_forest, sentencepiece_backend, token_edits, topk_bitslice, toxicity
+from tidewatch.llm import backoff_lm, html_main, langid, mixing, ngram_join, quality_forest, sentencepiece_backend, token_edits, topk_bitslice, toxicity
 from tidewatch.session import configure
 from tidewatch.sources.tables import load
 
@@ -55,6 +55,11 @@ def op7_token_edits(spark, sf_dir):
         return token_edits.count_edited(docs, f.read())
 
 
+def op8_backoff_lm(spark, sf_dir):
+    scored = backoff_lm.score(load(configure(spark), sf_dir, "documents"))
+    return scored.withColumn("log_score", F.round("log_score", 6))
+
+
 def op9_sentencepiece(spark, sf_dir):
     spark = configure(spark)
     model = sentencepiece_backend.load_model(spark, f"{TOKENIZERS}/piece_bpe_32k.model")
@@ -68,7 +73,7 @@ def op10_html_main(spark, sf_dir):
     return text.withColumn("n_chars", F.length("text").cast("long"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sliced_topk, op2_source_mix, op3_toxicity, op4_language, op5_ngram_join, op6_quality_forest, op7_token_edits, op9_sentencepiece, op10_html_main)}
+QUERIES = {f.__name__: f for f in (op1_sliced_topk, op2_source_mix, op3_toxicity, op4_language, op5_ngram_join, op6_quality_forest, op7_token_edits, op8_backoff_lm, op9_sentencepiece, op10_html_main)}
 ORACLES: dict[str, str] = {
     "op1_sliced_topk": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) q FROM embeddings
