@@ -241,7 +241,10 @@ def join(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """Rows of docs without near copies: of each group the document with the smallest doc_id stays, once."""
+    """Rows of docs without near copies: of each group the document with the smallest doc_id stays, once (of rows that share it the
+    one whose text has the smallest hash). Rows without doc_id all stay."""
     kept = join(docs, n, percent).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    lone = docs.where("doc_id is null")
-    return docs.dropDuplicates(["doc_id"]).join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi").unionByName(lone)
+    held = docs.join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi")
+    one = held.groupBy(F.col("doc_id").alias("kept_id")).agg(
+        F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.xxhash64("text")).alias("row"))
+    return one.select("row.*").unionByName(docs.where("doc_id is null"))

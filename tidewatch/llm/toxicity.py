@@ -214,3 +214,17 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     z = F.lit(a) + F.lit(b) * F.col("margin") + F.lit(c) * F.col("margin") * F.sqrt("n")
     p = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))
     return out.withColumn("score", p).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def keep(docs: DataFrame, model: Model | None) -> DataFrame:
+    """The rows of docs, with all their columns, that are not predicted toxic."""
+    if model is None:
+        return docs
+    margins = _margin_batches(model, [])
+
+    def run(batches):
+        for batch in batches:
+            found = next(iter(margins([batch])))
+            yield batch.filter(pa.array(model.score(*(c.to_numpy(zero_copy_only=False) for c in found.columns)) < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
