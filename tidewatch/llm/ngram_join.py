@@ -207,10 +207,8 @@ def _compare(percent: int):
 
 
 def families(sketches: DataFrame) -> DataFrame:
-    """node, root for the classes (by smallest doc_id) that share a key with another."""
-    known = sketches.where("doc_id is not null and class is not null")
-    reps = stage(known.groupBy("class").agg(F.min("doc_id").alias("rep")).select("rep").distinct(), "class-reps")
-    holders = known.join(reps, F.col("doc_id") == F.col("rep"), "left_semi").select("doc_id", F.explode("keys").alias("key"))
+    """node, root for the documents that share a key with another."""
+    holders = sketches.where("doc_id is not null").select("doc_id", F.explode("keys").alias("key"))
     cells = holders.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("other")).where("hub < other").select("key", "hub")
     return components(holders.join(cells, "key").where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")))
 
@@ -220,7 +218,11 @@ def join(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketches = stage(docs.mapInArrow(_sketch_batches(n, percent), "doc_id long, n long, class binary, keys array<long>"), "ngram-sketches")
-    kin = stage(families(sketches).join(sketches.groupBy(F.col("doc_id").alias("node")).agg(F.max("n").alias("n")), "node"), "families")
+    reps = sketches.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"))
+    reps = stage(reps.where("rep is not null"), "class-reps")
+    # one document stands for each class
+    alone = reps.groupBy(F.col("rep").alias("node")).agg(F.max("n").alias("n"))
+    kin = stage(families(sketches).join(alone, "node"), "families")
     size = kin.groupBy("root").agg(F.ceil(F.sum("n") / BLOCK).alias("blocks"))
     kin = kin.join(size, "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     kin = stage(kin.select("node", F.col("root").alias("family"), "n", "block", "blocks"), "family-blocks")
@@ -233,7 +235,6 @@ def join(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     rows = rows.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j")
     links = rows.mapInPandas(_compare(percent), "a long, b long")
     roots = components(links.where("a <> b"))
-    reps = sketches.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("rep"))
     named = reps.join(roots, F.col("rep") == F.col("node"), "left").select("class", F.coalesce("root", "rep").alias("component"))
     out = sketches.select("doc_id", "n", "class").join(named, "class", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"),
