@@ -6,7 +6,7 @@ other text has gets BACKOFF ** order over the number of words. A text's score is
 
 The counts are relations by hash: every block of texts lists its distinct n-grams per hash part, with their counts; a part adds
 the lists of all blocks and answers each with the totals; blocks join the answers and sum per text. An n-gram crosses the
-network once per block that has it, as five bytes, instead of once per occurrence. Blocks and parts are sized by the input, and
+network once per block that has it, as a four-byte step from the one before, instead of once per occurrence. Blocks and parts are sized by the input, and
 a frequent n-gram is one entry per block.
 
 Defined cases: null, empty and wordless texts have no words and score 0; equal texts in two rows are two texts and see each other;
@@ -26,9 +26,9 @@ from tidewatch.llm import bytetext as bt
 
 ORDER = 3
 BACKOFF = 0.4
-BLOCK = 2 << 20        # bytes of text of a block
+BLOCK = 4 << 20        # bytes of text of a block
 PART = 1 << 20         # words of the input per hash part
-FINGER = 5             # bytes of an n-gram in a list
+FINGER = 5             # bytes that tell n-grams of a part apart
 OUT = "doc_id long, n_words long, log_score double, " + ", ".join(f"n_order{k} long" for k in range(ORDER + 1))
 
 
@@ -43,6 +43,19 @@ def _unsqueeze(data: bytes, n: int) -> np.ndarray:
     return out
 
 
+def _deltas(fingers: np.ndarray) -> bytes:
+    """Ascending numbers as four-byte steps, with larger steps spelled out behind."""
+    step = np.diff(fingers, prepend=np.uint64(0))
+    top = np.uint64((1 << 32) - 1)
+    return np.minimum(step, top).astype(np.uint32).tobytes() + step[step >= top].tobytes()
+
+
+def _undeltas(data: bytes, n: int) -> np.ndarray:
+    step = np.frombuffer(data, np.uint32, n).astype(np.uint64)
+    step[step == (1 << 32) - 1] = np.frombuffer(data[4 * n:], np.uint64)
+    return np.cumsum(step, dtype=np.uint64)
+
+
 class Block:
     """n-grams of a block of texts: `grams` distinct and sorted by part, `at[k]` the place of the n-gram of k + 1 words that ends
     at each word (-1 where the text has too few words before), `own[k]` how often the text has it."""
@@ -86,7 +99,7 @@ class Block:
         """(part, fingerprints, counts) of each part that the block has n-grams of."""
         parts, begin = np.unique(self.part, return_index=True)
         for p, a, b in zip(parts, begin, np.append(begin[1:], len(self.part))):
-            yield int(p), self.finger[a:b, None].view(np.uint8).reshape(b - a, 8)[:, :FINGER].tobytes(), _squeeze(self.tf[a:b])
+            yield int(p), int(b - a), _deltas(self.finger[a:b]), _squeeze(self.tf[a:b])
 
     def scores(self, totals: np.ndarray, words: int) -> list[np.ndarray]:
         """Sum of logarithms per text, and words scored at order 0 (unseen), 1, 2, ..."""
@@ -116,12 +129,8 @@ def _sizes(batches):
 
 def _answer(table: pa.Table) -> pa.Table:
     """The totals of a part, for each block's list."""
-    fingers = []
-    for v in table.column("fingers").to_pylist():
-        wide = np.zeros((len(v) // FINGER, 8), np.uint8)
-        wide[:, :FINGER] = np.frombuffer(v, np.uint8).reshape(-1, FINGER)
-        fingers.append(wide.view(np.uint64).ravel())
-    size = [len(f) for f in fingers]
+    size = table.column("size").to_pylist()
+    fingers = [_undeltas(v, n) for v, n in zip(table.column("fingers").to_pylist(), size)]
     tf = np.concatenate([_unsqueeze(c, n) for c, n in zip(table.column("counts").to_pylist(), size)])
     _, back = np.unique(np.concatenate(fingers), return_inverse=True)
     total = np.bincount(back, tf).astype(np.int64)[back]
@@ -140,9 +149,10 @@ def score(docs: DataFrame) -> DataFrame:
 
     def ask(key, table):
         rows = list(Block(table, parts).lists())
-        cols = list(zip(*rows)) or [(), (), ()]
+        cols = list(zip(*rows)) or [()] * 4
         return pa.table({"block": pa.array([key[0].as_py()] * len(rows), pa.int64()), "part": pa.array(cols[0], pa.int64()),
-                         "fingers": pa.array(cols[1], pa.binary()), "counts": pa.array(cols[2], pa.binary())})
+                         "size": pa.array(cols[1], pa.int64()), "fingers": pa.array(cols[2], pa.binary()),
+                         "counts": pa.array(cols[3], pa.binary())})
 
     def tell(table, answers):
         block = Block(table, parts)
@@ -153,6 +163,6 @@ def score(docs: DataFrame) -> DataFrame:
         return pa.table({"doc_id": table.column("doc_id"), "n_words": pa.array(block.per), "log_score": pa.array(value),
                          **{f"n_order{k}": pa.array(o) for k, o in enumerate(orders)}})
 
-    asked = blocked.groupBy("block").applyInArrow(ask, "block long, part long, fingers binary, counts binary")
+    asked = blocked.groupBy("block").applyInArrow(ask, "block long, part long, size long, fingers binary, counts binary")
     answers = asked.groupBy("part").applyInArrow(_answer, "block long, part long, totals binary")
     return blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(tell, OUT)
