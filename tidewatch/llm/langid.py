@@ -123,10 +123,10 @@ def fit(docs: DataFrame, learn: F.Column | None = None, seed: int = 9) -> Net |
     rows = docs if learn is None else docs.where(learn)
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("text").rlike(r"\p{L}"))
     pick = F.xxhash64("doc_id", "lang", F.lit(seed))
-    # the ids are ranked first: only the chosen texts are gathered
+    # the ids are ranked first; the chosen ones, LABEL_ROWS at most, go to the texts
     chosen = rows.select("doc_id", "lang").distinct().orderBy(pick, "doc_id", "lang").limit(LABEL_ROWS)
     chosen = chosen.select(F.col("doc_id").alias("pick_id"), F.col("lang").alias("pick_lang"))
-    rows = rows.join(chosen, (F.col("doc_id") == F.col("pick_id")) & (F.col("lang") == F.col("pick_lang")))
+    rows = rows.join(F.broadcast(chosen), (F.col("doc_id") == F.col("pick_id")) & (F.col("lang") == F.col("pick_lang")))
     each = max(1, WINDOWS // LABEL_ROWS) + 1
 
     def sample(batches):

@@ -166,7 +166,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: F.Column | None = None, seed:
     rows = docs.select("doc_id", "text") if learn is None else docs.where(learn).select("doc_id", "text")
     chosen = rows.select("doc_id").distinct().join(known, F.col("doc_id") == F.col("label_id")).orderBy(
         F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(LABEL_ROWS).select("label_id", "toxic")
-    rows = rows.join(stage(chosen, "toxic-rows"), F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "toxic")
+    # at most LABEL_ROWS rows of two numbers
+    rows = rows.join(F.broadcast(stage(chosen, "toxic-rows")), F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "toxic")
     rows = stage(rows, "toxic-texts")
     part = F.pmod(F.xxhash64("doc_id", F.lit(seed + 1)), F.lit(CALIBRATE)) == 0
     counts = rows.where(~part).select("text", "toxic").mapInArrow(
