@@ -11,19 +11,25 @@ from tidewatch.session import configure
 from tidewatch.sources.tables import load
 
 
+def text_session(spark):
+    """The library's settings, and small Arrow batches: texts may be long, and two tasks share an executor's memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    return configure(spark)
+
+
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 
 
 def op1_sliced_topk(spark, sf_dir):
-    return topk_bitslice.top_k(load(configure(spark), sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+    return topk_bitslice.top_k(load(text_session(spark), sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
 def op2_source_mix(spark, sf_dir):
-    return mixing.mix(load(configure(spark), sf_dir, "documents"))
+    return mixing.mix(load(text_session(spark), sf_dir, "documents"))
 
 
 def op3_toxicity(spark, sf_dir):
-    spark = configure(spark)
+    spark = text_session(spark)
     docs = load(spark, sf_dir, "documents")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
     model = toxicity.fit(docs, load(spark, sf_dir, "labels"), ~held_out)
@@ -32,36 +38,36 @@ def op3_toxicity(spark, sf_dir):
 
 
 def op4_language(spark, sf_dir):
-    docs = load(configure(spark), sf_dir, "documents")
+    docs = load(text_session(spark), sf_dir, "documents")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
     found = langid.predict(docs, langid.fit(docs, ~held_out))
     return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", F.round("score", 6).alias("score"))
 
 
 def op5_ngram_join(spark, sf_dir):
-    return ngram_join.join(load(configure(spark), sf_dir, "documents"))
+    return ngram_join.join(load(text_session(spark), sf_dir, "documents"))
 
 
 def op6_quality_forest(spark, sf_dir):
-    spark = configure(spark)
+    spark = text_session(spark)
     out = quality_forest.judge(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
                       F.round("score", 6).alias("score"))
 
 
 def op7_token_edits(spark, sf_dir):
-    docs = token_edits.sample_edits(load(configure(spark), sf_dir, "documents"))
+    docs = token_edits.sample_edits(load(text_session(spark), sf_dir, "documents"))
     with open(f"{TOKENIZERS}/byte_bpe_50k.tiktoken", "rb") as f:
         return token_edits.count_edited(docs, f.read())
 
 
 def op8_backoff_lm(spark, sf_dir):
-    scored = backoff_lm.score(load(configure(spark), sf_dir, "documents"))
+    scored = backoff_lm.score(load(text_session(spark), sf_dir, "documents"))
     return scored.withColumn("log_score", F.round("log_score", 6))
 
 
 def op9_sentencepiece(spark, sf_dir):
-    spark = configure(spark)
+    spark = text_session(spark)
     model = sentencepiece_backend.load_model(spark, f"{TOKENIZERS}/piece_bpe_32k.model")
     coded = sentencepiece_backend.encode(load(spark, sf_dir, "documents"), model)
     return coded.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"),
@@ -69,7 +75,7 @@ def op9_sentencepiece(spark, sf_dir):
 
 
 def op10_html_main(spark, sf_dir):
-    text = html_main.extract(load(configure(spark), sf_dir, "pages"))
+    text = html_main.extract(load(text_session(spark), sf_dir, "pages"))
     return text.withColumn("n_chars", F.length("text").cast("long"))
 
 
