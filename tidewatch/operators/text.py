@@ -49,12 +49,12 @@ def text_lags(df: DataFrame, keys: Sequence[str], order: str, text: str, bucket:
               sep: str = SEPARATOR, name: str = "notes_combo") -> DataFrame:
     """Each row's text preceded by the texts of its entity's previous n rows; missing ones count as empty.
 
-    `bucket` must rise with `order`. Rows are windowed per (entity, bucket), so one entity's texts never meet in one
+    `bucket` must rise with `order`; rows of one entity and time are ordered by their text. Rows are windowed per (entity, bucket), so one entity's texts never meet in one
     task. The last n rows of a bucket are copied into the following buckets of the entity that reach back to them.
     """
     keys = list(keys)
     rows = df.withColumn("_b", bucket).withColumn("_own", F.lit(True))
-    tail = Window.partitionBy(*keys, "_b").orderBy(F.col(order).desc())
+    tail = Window.partitionBy(*keys, "_b").orderBy(F.col(order).desc(), F.col(text).desc())
     tails = rows.withColumn("_q", F.row_number().over(tail)).filter(F.col("_q") <= n)
 
     # Per bucket the next n buckets of the entity with the number of rows in between. One narrow row per bucket.
@@ -69,7 +69,7 @@ def text_lags(df: DataFrame, keys: Sequence[str], order: str, text: str, bucket:
         tails.join(links.filter("_to IS NOT NULL"), [*keys, "_b"]).filter(F.col("_q") + F.col("_gap") <= n)
         .withColumn("_b", F.col("_to")).withColumn("_own", F.lit(False)).select(*rows.columns)
     )
-    w = Window.partitionBy(*keys, "_b").orderBy(order)
+    w = Window.partitionBy(*keys, "_b").orderBy(order, text)
     earlier = [F.coalesce(F.lag(text, k).over(w), F.lit("")) for k in range(n, 0, -1)]
     combined = F.concat_ws(sep, *earlier, F.coalesce(F.col(text), F.lit("")))
     return rows.unionByName(copies).withColumn(name, combined).filter("_own").drop("_b", "_own")

@@ -19,6 +19,7 @@ from tidewatch.operators.cohort import attach_context, first_per, restrict_event
 from tidewatch.operators.hourly import (Covered, Events, Intervals, Latest, Seen, Total, hourly_grid, hourly_state)
 from tidewatch.operators.onset import clean_labels, min_where
 from tidewatch.operators.pairs import pair_within
+from tidewatch.session import configure
 from tidewatch.sources.storage import stage
 
 # --- fixed values -----------------------------------------------------------------------------------------------------
@@ -277,7 +278,9 @@ def labels(hours: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 def features(tables: Mapping[str, DataFrame], ids: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The wide feature table. Rows at or after the onset are dropped; they form the tail of a stay, so trends that
-    only look back are the same before and after."""
+    only look back are the same before and after. Sets the session up first: the result depends on its zone."""
+    for table in tables.values():
+        configure(table.sparkSession)
     hours = labels(scored_hours(tables, ids, settings), settings)
     split = B.split_by_year("admittime", settings.last_train_year)
     derived = hours.withColumns({

@@ -65,14 +65,14 @@ def text_lr_oof(spark, d):
 
 
 def level_one_tables(spark, d) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Out-of-fold and test predictions of both models; the text model only knows the English rows."""
+    """Out-of-fold and test predictions of both models; rows whose text is missing have none of the text model."""
     train, test = split(spark, d)
-    tab, txt, en = gbt(), text_model(), "lang = 'en'"
+    tab, txt, known = gbt(), text_model(), "text is not null"
     return (
         level_one(train, tab, "t", "row_id", "hadm_id").select(*KEYS, "p_tab"),
-        level_one(train.filter(en), txt, "t", "row_id", "hadm_id").select("row_id", "p_text"),
+        level_one(train.filter(known), txt, "t", "row_id", "hadm_id").select("row_id", "p_text"),
         stage(MO.fit_full_and_score(tab, train, test).select(*KEYS, "p_tab"), "tab-test"),
-        stage(MO.fit_full_and_score(txt, train.filter(en), test.filter(en)).select("row_id", "p_text"), "text-test"),
+        stage(MO.fit_full_and_score(txt, train.filter(known), test.filter(known)).select("row_id", "p_text"), "text-test"),
     )
 
 
