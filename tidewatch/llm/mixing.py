@@ -23,6 +23,7 @@ WEIGHTS = (3, 1, 2)
 BLOCK = 64        # words
 SHARD = 1024      # slots of an output shard
 ROUNDS = 12       # of the shuffle
+TASK_SLOTS = 100_000
 CELLS = 1024      # of the grid on [0, 1) by which slots meet sources
 RUN = 2048        # rows ordered together
 SEED = 7
@@ -114,6 +115,9 @@ def block_takes(sources: DataFrame, limit: float = 2.0, block: int = BLOCK, shar
     counts = counts.withColumn("first", F.coalesce(F.sum("slots").over(within), F.lit(0)))
     counts = counts.join(parts, ["sid", "part"]).join(
         sources.select("sid", F.ceil(F.col("source_size") / block).alias("blocks")), "sid")
+    # a row here stands for up to `shard` slots: few bytes, much work, so the number of tasks goes by the slots
+    total = sources.where("target > 0").agg(F.sum(F.col("target") / block)).first()[0] or 0.0
+    counts = counts.repartition(max(1, round(total / TASK_SLOTS)), "sid", "shard")
     first = F.col("base") + F.col("first")
     slots = counts.select("sid", "blocks", F.explode(F.sequence(first, first + F.col("slots") - 1)).alias("i"))
     slots = slots.where(F.col("i") < F.floor(F.lit(limit)) * F.col("blocks"))
