@@ -64,7 +64,7 @@ class EditTree:
         self._plant(cut(text, border), counts)
 
     def _counts(self, leaves: list[str]) -> list[int]:
-        return [len(t) for t in self.encoder.encode_ordinary_batch(leaves, num_threads=1)] if leaves else []
+        return [len(self.encoder.encode_ordinary(leaf)) for leaf in leaves]
 
     def _plant(self, leaves: list[str], counts=None) -> None:
         self.leaves = leaves or [""]
