@@ -122,3 +122,53 @@ def test_first_time_keeps_entities_without_anchor(spark):
     anchor = spark.createDataFrame([(1, T0 + 49 * H)], "k long, q timestamp_ntz")
     got = {r.k: r.t_onset for r in first_time_where(hours, ["k"], "t", F.col("score") >= 2, anchor, "k", "q", 48, 24).collect()}
     assert got == {1: T0 + H, 2: None}
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_hours_do_not_depend_on_the_session_zone(spark, zone):
+    """The grid of a night in which the zone's clocks go forward has all its hours."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        stay = spark.createDataFrame([(1, D(2024, 3, 10, 0, 30), D(2024, 3, 10, 5, 30))], "k long, a timestamp_ntz, b timestamp_ntz")
+        grid = hourly_grid(stay, "a", "b").select("k", "t")
+        ev = Events(event_frame(spark, [(1, D(2024, 3, 10, 2, 10), "a", 2.5, 1)]), "ts", "value", "kind", "id")
+        got = {r.t: r.v for r in hourly_signals(grid, ["k"], {"e": ev}, [Latest("v", "e", "a", 2)]).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == {D(2024, 3, 10, h): 2.5 if h in (3, 4) else None for h in range(6)}
+
+
+def test_sums_of_tiny_huge_and_missing_amounts(spark):
+    amounts = [1e-7, 1e13, float("nan"), None, 1.2345678]
+    rows = [(k, T0 + dt.timedelta(minutes=30), "a", v, 1) for k, v in enumerate(amounts)]
+    rows.append((2, T0 + 5 * H, "a", 1 / 7, 2))  # the NaN has left the window by then
+    grid = grid_frame(spark, [(k, T0 + i * H) for k in range(5) for i in (1, 6)])
+    ev = Events(event_frame(spark, rows), "ts", "value", "kind", "id")
+    got = {(r.k, r.t): r.s for r in hourly_signals(grid, ["k"], {"e": ev}, [Total("s", "e", 3)]).collect()}
+    first = [got[(k, T0 + H)] for k in range(5)]
+    assert first[:2] == [1e-7, 1e13] and first[2] != first[2] and first[3:] == [None, 1.2345678]
+    assert got[(2, T0 + 6 * H)] == 1 / 7 and got[(0, T0 + 6 * H)] is None
+
+
+def test_decimal_amounts_are_summed_exactly(spark):
+    ev = spark.createDataFrame([(1, T0)] * 10, "k long, ts timestamp_ntz").withColumn("value", F.expr("CAST(0.1 AS decimal(12,8))"))
+    got = hourly_signals(grid_frame(spark, [(1, T0)]), ["k"], {"e": Events(ev, "ts", "value")}, [Total("s", "e", 1)]).first()
+    assert got.s == 1.0
+
+
+def test_sums_of_sevenths_against_brute_force(spark):
+    rng = random.Random(9)
+    rows = [(rng.randrange(2), T0 + dt.timedelta(seconds=rng.randrange(40 * 3600)), "a", rng.randrange(1000) / 7, i) for i in range(500)]
+    grid = grid_frame(spark, [(k, T0 + i * H) for k in range(2) for i in range(48)])
+    ev = Events(event_frame(spark, rows), "ts", "value", "kind", "id")
+    for r in hourly_signals(grid, ["k"], {"e": ev}, [Total("s", "e", 6)]).collect():
+        want = [v for k, ts, _, v, _ in rows if k == r.k and r.t - 6 * H < ts <= r.t]
+        assert (r.s is None) == (not want) and (not want or r.s == pytest.approx(sum(want), rel=1e-12))
+
+
+def test_grid_times_off_the_hour_are_refused(spark):
+    ev = Events(event_frame(spark, [(1, T0, "a", 1.0, 1)]), "ts", "value", "kind", "id")
+    grid = grid_frame(spark, [(1, T0 + dt.timedelta(minutes=30))])
+    with pytest.raises(Exception, match="full hours"):
+        hourly_signals(grid, ["k"], {"e": ev}, [Total("s", "e", 1)]).collect()

@@ -1,6 +1,7 @@
 """Timestamp arithmetic on whole hours and microseconds.
 
-All of it assumes the session zone is UTC (see session.configure).
+Zone-less timestamps are never cast through a zoned one, so results do not depend on the session zone. Zoned timestamps
+are read as the wall clock of the session zone.
 """
 
 from __future__ import annotations
@@ -21,22 +22,35 @@ def floor_div(x: Column, n: int) -> Column:
     return F.call_function("div", x - F.pmod(x, F.lit(n)), F.lit(n))
 
 
+def wall(ts: Column | str) -> Column:
+    return col(ts).cast("timestamp_ntz")
+
+
+def _second(x: Column) -> Column:
+    return F.extract(F.lit("SECOND"), x)  # with its fraction, decimal(8,6)
+
+
 def micros(ts: Column | str) -> Column:
-    return F.unix_micros(col(ts).cast("timestamp"))
+    """Microseconds from 1970-01-01 00:00 to ts."""
+    x = wall(ts)
+    minutes = hour_floor(ts) * F.lit(60) + F.minute(x)
+    return minutes * F.lit(60_000_000) + (_second(x) * F.lit(1_000_000)).cast("long")
 
 
 def from_micros(us: Column) -> Column:
-    return F.timestamp_micros(us).cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", us, F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"))
 
 
 def hour_floor(ts: Column | str) -> Column:
     """Number of the hour that contains ts."""
-    return floor_div(micros(ts), HOUR_US)
+    x = wall(ts)
+    return F.unix_date(x.cast("date")).cast("long") * F.lit(24) + F.hour(x)
 
 
 def hour_ceil(ts: Column | str) -> Column:
     """Number of the first full hour at or after ts: the first grid point that may see the event."""
-    return floor_div(micros(ts) + F.lit(HOUR_US - 1), HOUR_US)
+    x = wall(ts)
+    return hour_floor(ts) + F.when((F.minute(x) > 0) | (_second(x) > 0), F.lit(1)).otherwise(F.lit(0))
 
 
 def from_hour(hour: Column | str) -> Column:

@@ -20,11 +20,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from tidewatch.functions.clock import HOUR_US, floor_div, from_hour, hour_ceil, hour_floor, micros
 
-AMOUNT_UNIT = 1e6  # amounts are summed as whole millionths, so sums are exact and independent of order
-
 
 @dataclass(frozen=True)
 class Latest:
@@ -38,7 +37,10 @@ class Latest:
 
 @dataclass(frozen=True)
 class Total:
-    """Sum of values over (t - hours, t], NULL when there is none."""
+    """Sum of values over (t - hours, t], NULL when there is none.
+
+    Decimal values are summed as decimals of their own scale, all others as doubles. The result is a double.
+    """
 
     name: str
     source: str
@@ -110,7 +112,9 @@ def hourly_state(grid: DataFrame, keys: Sequence[str], sources: dict[str, Events
         for source in _sources_of(s):
             codes.setdefault((source, getattr(s, "kind", None)), len(codes))
 
-    points = grid.select(*keys, (hour_floor(t) * 2 + 1).alias("_h"), F.lit(True).alias("_grid"))
+    full = F.when(F.col(t).isNull() | (from_hour(hour_floor(t)) == F.col(t)), hour_floor(t)).otherwise(
+        F.raise_error(F.lit(f"grid times in {t} must be full hours")))
+    points = grid.select(*keys, (full * 2 + 1).alias("_h"), F.lit(True).alias("_grid"))
     feeds = []
     for name, source in sources.items():
         wanted = [(kind, code) for (src, kind), code in codes.items() if src == name]
@@ -128,7 +132,7 @@ def hourly_state(grid: DataFrame, keys: Sequence[str], sources: dict[str, Events
         here = f"_code = {code}"
         cells[f"{prefix}{code}"] = {
             "_last": f"max_by(_value, _ord) FILTER (WHERE {here} AND _value IS NOT NULL)",
-            "_sum": f"sum(CAST(round(_value * {AMOUNT_UNIT:.0f}D) AS bigint)) FILTER (WHERE {here})",
+            "_sum": f"sum({'_exact' if _is_decimal(sources[source]) else '_value'}) FILTER (WHERE {here})",
             "_seen": f"max(1) FILTER (WHERE {here})",
             "_edges": f"sum(_edge) FILTER (WHERE {here})",
         }[prefix]
@@ -143,11 +147,10 @@ def hourly_state(grid: DataFrame, keys: Sequence[str], sources: dict[str, Events
             c = cell("_last", s.source, s.kind)
             out = f"CASE WHEN {fresh(c, s.hours)} THEN last({c}, true) {so_far} END"
         elif isinstance(s, Total):
-            # Difference of two running sums: constant work per row, where a sliding frame would re-add each window.
+            # A bounded frame re-adds at most `hours` cells and grid rows each; nothing outside it, such as a NaN or a
+            # huge amount, touches the sum.
             c = cell("_sum", s.source, s.kind)
-            before = f"OVER ({window} RANGE BETWEEN UNBOUNDED PRECEDING AND {2 * s.hours} PRECEDING)"
-            amount = f"(sum({c}) {so_far} - coalesce(sum({c}) {before}, 0)) / {AMOUNT_UNIT:.0f}D"
-            out = f"CASE WHEN {fresh(c, s.hours)} THEN {amount} END"
+            out = f"CAST(sum({c}) OVER ({window} RANGE BETWEEN {2 * s.hours - 1} PRECEDING AND CURRENT ROW) AS double)"
         elif isinstance(s, Seen):
             out = " OR ".join(f"coalesce({fresh(cell('_seen', x, s.kind), s.hours)}, false)" for x in s.sources)
         else:
@@ -177,10 +180,15 @@ def pivot_latest(grid: DataFrame, keys: Sequence[str], events: Events, kinds: di
     return hourly_signals(grid, keys, {"events": events}, signals, t)
 
 
+def _is_decimal(source: Events | Intervals) -> bool:
+    return isinstance(source, Events) and bool(source.value) and isinstance(source.df.schema[source.value].dataType, DecimalType)
+
+
 def _event_cells(source: Events, keys: list[str], wanted: list[tuple[str | None, int]]) -> DataFrame:
     """Long rows (keys, _hour, _code, _value, _ord), one per event and matched kind."""
     ts = F.col(source.ts)
     value = F.col(source.value).cast("double") if source.value else F.lit(None).cast("double")
+    exact = [F.col(source.value).alias("_exact")] if _is_decimal(source) else []
     whole = [code for kind, code in wanted if kind is None]
     match = F.lit(None).cast("int")
     for kind, code in wanted:
@@ -203,7 +211,7 @@ def _event_cells(source: Events, keys: list[str], wanted: list[tuple[str | None,
         order = offset * F.lit(2**31) + F.pmod(F.hash(value), F.lit(2**31))
     return (
         source.df.filter(ts.isNotNull())
-        .select(*keys, hour.alias("_hour"), coded.alias("_code"), value.alias("_value"), order.alias("_ord"))
+        .select(*keys, hour.alias("_hour"), coded.alias("_code"), value.alias("_value"), order.alias("_ord"), *exact)
         .filter(F.col("_code").isNotNull())
     )
 

@@ -37,6 +37,7 @@ ORACLES: dict[str, str] = {}
 def query(name: str, sql: str | None = None):
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")  # zoned columns of the given tables read as in the SQL
             return fn(configure(spark), sf_dir)
 
         QUERIES[name] = run
@@ -254,15 +255,14 @@ def latest_per_group(spark, d):
 
 
 def _sum_sql(w: int, name: str) -> str:
-    return (f"CAST(sum(CAST(e.value AS DECIMAL(18,6))) FILTER (WHERE e.ts > g.t - INTERVAL {w} HOUR) AS DOUBLE) "
-            f"AS {name}")
+    return f"round(sum(e.value) FILTER (WHERE e.ts > g.t - INTERVAL {w} HOUR), 9) + 0.0 AS {name}"
 
 
 @query("trailing_sum_24h", f"""
 WITH {O.GRID} SELECT g.user_id, g.t, {_sum_sql(24, 'sum_24h')} FROM grid g LEFT JOIN events e
 ON e.user_id = g.user_id AND e.ts <= g.t AND e.ts > g.t - INTERVAL 24 HOUR GROUP BY g.user_id, g.t""")
 def trailing_sum_24h(spark, d):
-    return hourly_signals(user_grid(spark, d), ["user_id"], user_sources(spark, d), [Total("sum_24h", "events", 24)])
+    return rounded(hourly_signals(user_grid(spark, d), ["user_id"], user_sources(spark, d), [Total("sum_24h", "events", 24)]))
 
 
 @query("trailing_sums_multi", f"""
@@ -274,8 +274,8 @@ GROUP BY g.user_id, g.t""")
 def trailing_sums_multi(spark, d):
     ev = user_events(spark, d)
     both = only(ev, "purchase").unionByName(only(ev, "view").withColumn("value", F.col("value") / 2))
-    return hourly_signals(user_grid(spark, d), ["user_id"], {"both": Events(both, "ts")},
-                          [Total(f"sum_{w}h", "both", w) for w in (6, 12, 24)])
+    return rounded(hourly_signals(user_grid(spark, d), ["user_id"], {"both": Events(both, "ts")},
+                                  [Total(f"sum_{w}h", "both", w) for w in (6, 12, 24)]))
 
 
 @query("interval_covered", f"""

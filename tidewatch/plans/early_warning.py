@@ -278,7 +278,7 @@ def labels(hours: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 def features(tables: Mapping[str, DataFrame], ids: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The wide feature table. Rows at or after the onset are dropped; they form the tail of a stay, so trends that
-    only look back are the same before and after. Sets the session up first: the result depends on its zone."""
+    only look back are the same before and after. Sets joins and code generation of the session up first."""
     for table in tables.values():
         configure(table.sparkSession)
     hours = labels(scored_hours(tables, ids, settings), settings)

@@ -129,7 +129,7 @@ def _latest(name: str, source: str) -> str:
 
 def _sums(name: str, source: str) -> str:
     parts = ", ".join(
-        f"CAST(sum(CAST(e.v AS DECIMAL(18,6))) FILTER (WHERE e.ts > h.t - INTERVAL {w} HOUR) AS DOUBLE) AS {name}_{w}h_ml"
+        f"sum(e.v) FILTER (WHERE e.ts > h.t - INTERVAL {w} HOUR) AS {name}_{w}h_ml"
         for w in (6, 12, 24))
     return f"""q_{name} AS (SELECT h.icustay_id, h.t, {parts} FROM hours h LEFT JOIN {source} e
   ON e.icustay_id = h.icustay_id AND e.ts <= h.t AND e.ts > h.t - INTERVAL 24 HOUR GROUP BY h.icustay_id, h.t)"""

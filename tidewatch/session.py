@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Zone-less timestamps become integers through a UTC cast, so the zone is part of correctness.
-# The rest keeps joins adaptive: broadcast sides are chosen by measured size, skewed joins are split.
+# Joins stay adaptive: broadcast sides are chosen by measured size, skewed joins are split.
 RUNTIME = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
