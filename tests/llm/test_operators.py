@@ -274,6 +274,31 @@ def test_html_blocks_and_repeated_runs(spark):
     assert html_main.extract(table.limit(0)).count() == 0
 
 
+def _extract(spark, rows):
+    return {r.page_id: r.text for r in html_main.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def _prose(seed, n):
+    rng = random.Random(seed)
+    return " ".join(f"w{rng.randrange(5000)}" for _ in range(n))
+
+
+def test_html_repetition_decides_beside_and_inside_articles(spark):
+    call = " ".join(f"subscribe{i}" for i in range(20))
+    rows = [(i, f"http://a.example/{i}", f"<main><p>{_prose(i, 60)}</p><div>{call}</div></main><div>{call} x{i}</div>") for i in range(12)]
+    rows += [(20 + i, f"http://b.example/{i}", f"<div>{_prose(50 + i, 80)}</div><article>teaser {i}</article>") for i in range(3)]
+    got = _extract(spark, rows)
+    assert [got[i] for i in range(12)] == [f"{_prose(i, 60)}\nx{i}" for i in range(12)]
+    assert [got[20 + i] for i in range(3)] == [f"{_prose(50 + i, 80)}\nteaser {i}" for i in range(3)]
+
+
+def test_html_copied_articles_count_as_one(spark):
+    text = _prose(7, 150)
+    rows = [(i, f"http://a.example/{i}", f"<main><p>{text}</p><p>read on {i} may</p></main>") for i in range(8)]
+    got = _extract(spark, rows)
+    assert [got[i] for i in range(8)] == [f"{text}\nread on {i} may" for i in range(8)]
+
+
 def test_window_order_is_a_suffix_order():
     rng = np.random.default_rng(1)
     streams = [rng.integers(0, 3, n).astype(np.uint64) for n in (0, 3, 30, 50)]

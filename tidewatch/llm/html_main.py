@@ -1,14 +1,14 @@
-"""HTML extraction: article text, with a suffix array per host for pages that do not mark their article.
+"""HTML extraction: article text, with a suffix array per host.
 
 A page is read into blocks, each inside its article (article, main, role=main), inside something that never is text (menus,
-headers, footers, sidebars, notices, adverts, forms, comments, scripts, markup), or neither. A page with an article gives the
-article's blocks. Of other pages the undecided blocks are judged by repetition: the token streams of what stands outside
-articles are laid end to end for a host, a suffix array ordered by the first RUN tokens finds substrings of RUN tokens or more
-that occur on distinct pages, and what these cover is removed; the unique runs stay. Pages with equal html count as one, so a
-copied page does not turn its own text into boilerplate.
+headers, footers, sidebars, notices, adverts, forms, comments, scripts, markup), or neither. Blocks of the last kind and of
+articles are judged by repetition: the token streams of whole pages are laid end to end for a host, a suffix array ordered by the
+first RUN tokens finds substrings of RUN tokens or more that occur on distinct pages, and what these cover is removed; the
+unique runs stay. Near copies count as one page, so a page does not turn the text of its copies into boilerplate: pages whose
+articles (open blocks where there is none) share NEAR of their distinct runs of GRAM tokens, measured on HASHES smallest hashes.
 
-A host's pages are ordered STREAM at a time; a substring's pages are counted over all streams of the host. (A token lies in a
-repeated substring of RUN tokens or more exactly if it lies in a repeated window of RUN tokens.)
+A host's pages are ordered STREAM at a time; a substring's pages are counted over all streams of the host, near copies in each.
+(A token lies in a repeated substring of RUN tokens or more exactly if it lies in a repeated window of RUN tokens.)
 
 Defined cases: null and empty html give an empty text; unclosed and cut-off markup ends with the page; a null url is a host of
 its own; equal rows get equal texts; an empty table gives no rows; columns besides page_id, url and html are not looked at.
@@ -30,6 +30,7 @@ from tidewatch.sources.storage import stage
 
 RUN = 12            # tokens of the shortest substring that counts
 STREAM = 2_048      # pages ordered together
+GRAM, NEAR, HASHES = 4, 0.8, 64
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^>]*\Z", re.S)
 _ATTR = re.compile(r"([^\s=/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
@@ -128,11 +129,13 @@ def host_of(url) -> F.Column:
     return F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1))
 
 
-def _article(page: str | None) -> tuple[str, list[tuple[int, str]]]:
-    """The article's text, or no text and the undecided blocks; and the blocks outside an article."""
-    found = blocks(page or "")
-    own = [t for where, t in found if where == ARTICLE]
-    return "\n".join(own), [b for b in found if b[0] != ARTICLE]
+def _pack(found: list[tuple[int, str]]) -> str:
+    """Blocks as lines: the place's digit, then the text (which holds no line feed)."""
+    return "\n".join(f"{where}{text}" for where, text in found)
+
+
+def _unpack(body: str) -> list[tuple[int, str]]:
+    return [(int(line[0]), line[1:]) for line in body.split("\n")] if body else []
 
 
 def _tokens(found: list[tuple[int, str]]) -> np.ndarray:
@@ -140,6 +143,33 @@ def _tokens(found: list[tuple[int, str]]) -> np.ndarray:
     return bt.Words(np.frombuffer(data, np.uint8), np.array([0, len(data)])).hashes()
 
 
+_SEEDS = np.random.default_rng(7).integers(1, 1 << 63, HASHES).astype(np.uint64)
+
+
+def _sketch(found: list[tuple[int, str]], tokens: np.ndarray) -> np.ndarray:
+    """The smallest hashes of the article's runs of GRAM tokens, or of the open blocks' or the page's."""
+    place = np.repeat([where for where, _ in found], [t.count(" ") + 1 for _, t in found])
+    best = max((where for where, _ in found), default=NEVER)
+    own = tokens[place == best]
+    grams = bt.gram_hashes(own, min(GRAM, len(own)))
+    return np.array([bt.mix64(grams ^ seed).min() for seed in _SEEDS]) if len(grams) else np.zeros(HASHES, np.uint64)
+
+
+def near_copies(sketches: np.ndarray) -> np.ndarray:
+    """The class of each page: that of the first page, one for each class, with which it agrees in NEAR of its hashes."""
+    kind = np.zeros(len(sketches), np.int64)
+    first = np.empty_like(sketches)
+    n = 0
+    for i, sketch in enumerate(sketches):
+        alike = np.flatnonzero((first[:n] == sketch).mean(axis=1) >= NEAR) if n else ()
+        if len(alike):
+            kind[i] = alike[0]
+        else:
+            kind[i], first[n] = n, sketch
+            n += 1
+    return kind
+
+
 def window_order(streams: list[np.ndarray], run: int = RUN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Suffix array of streams laid end to end, ordered by the first `run` tokens: (rank of the window that begins at each
     token, stream of the token, whether the window fits its stream). Ranks double their length until they span the window."""
@@ -164,81 +194,64 @@ def window_order(streams: list[np.ndarray], run: int = RUN) -> tuple[np.ndarray,
 
 
 def _stream_windows(frame: pd.DataFrame) -> pd.DataFrame:
-    """Windows of one stream of pages: host, window (its hash) and pages (distinct ones that have it)."""
-    streams = [np.frombuffer(t, np.uint64) for t in frame["tokens"]]
+    """Windows of one stream of pages that several classes of near copies have: host, window (its hash) and pages (classes)."""
+    frame = frame.sort_values("page")
+    found = [_unpack(b) for b in frame["body"]]
+    streams = [_tokens(f) for f in found]
     rank, owner, fits = window_order(streams)
     if not fits.any():
         return pd.DataFrame({"host": [], "window": [], "pages": []})
+    kind = near_copies(np.array([_sketch(f, t) for f, t in zip(found, streams)]))
     key = bt.gram_hashes(np.concatenate(streams), RUN)
     place = np.flatnonzero(fits)
-    seen = np.unique(rank[place] * len(streams) + owner[place]) // len(streams)
+    seen = np.unique(rank[place] * len(streams) + kind[owner[place]]) // len(streams)
     ranks, pages = np.unique(seen, return_counts=True)
     first = np.zeros(rank.max() + 1, np.int64)
     first[rank[place][::-1]] = place[::-1]
     return pd.DataFrame({"host": frame["host"].iloc[0], "window": key[first[ranks]].view(np.int64), "pages": pages})
 
 
-def _outer_batches(batches):
+def _body_batches(batches):
     for batch in batches:
-        host, html = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("host", "html"))
-        rows = []
-        for h, page in zip(host, html):
-            own, outer = _article(page)
-            rows.append((h, _tokens(outer).tobytes(), not own))
-        cols = list(zip(*rows)) or [(), (), ()]
+        html = batch.column(batch.schema.get_field_index("html")).to_pylist()
         yield pa.RecordBatch.from_arrays(
-            [pa.array(cols[0], pa.string()), batch.column(batch.schema.get_field_index("page")), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.bool_())],
-            names=["host", "page", "tokens", "undecided"])
-
-
-def _marked(frames):
-    """Windows of undecided pages, with the place of their first token."""
-    for frame in frames:
-        for r in frame.itertuples():
-            keys = bt.gram_hashes(np.frombuffer(r.tokens, np.uint64), RUN).view(np.int64)
-            yield pd.DataFrame({"host": r.host, "page": r.page, "window": keys, "at": np.arange(len(keys))})
+            [*(batch.column(batch.schema.get_field_index(c)) for c in ("page_id", "url", "host")), pa.array([_pack(blocks(h or "")) for h in html], pa.string())],
+            names=["page_id", "url", "host", "body"])
 
 
-def _unique_runs(found: list[tuple[int, str]], covered) -> str:
-    """Text of the undecided blocks without the tokens that a repeated window covers."""
+def _unique_runs(found: list[tuple[int, str]], repeated) -> str:
+    """Text of the article's and the undecided blocks without the tokens that a repeated window covers."""
     words = [t.split(" ") for _, t in found]
     hit = np.zeros(sum(map(len, words)) + RUN, bool)
-    for i in covered:
-        hit[i:i + RUN] = True
+    if repeated is not None and len(repeated):
+        for i in np.flatnonzero(np.isin(bt.gram_hashes(_tokens(found), RUN).view(np.int64), repeated)):
+            hit[i:i + RUN] = True
     out, at = [], 0
     for (where, text), w in zip(found, words):
         gone = hit[at:at + len(w)]
         at += len(w)
-        if where == OPEN and not gone.all():
+        if where != NEVER and not gone.all():
             out.append(text if not gone.any() else " ".join(x for x, g in zip(w, gone) if not g))
     return "\n".join(out)
 
 
 def _text_batches(batches):
     for batch in batches:
-        html, covered = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("html", "covered"))
-        texts = []
-        for page, hits in zip(html, covered):
-            own, outer = _article(page)
-            texts.append(own or _unique_runs(outer, hits or ()))
+        body, repeated = (batch.column(batch.schema.get_field_index(c)) for c in ("body", "repeated"))
+        texts = [_unique_runs(_unpack(b), r.values.to_numpy() if r.is_valid else None) for b, r in zip(body.to_pylist(), repeated)]
         yield pa.RecordBatch.from_arrays(
             [batch.column(batch.schema.get_field_index(c)) for c in ("page_id", "url")] + [pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url and text of every row of pages."""
-    rows = pages.select("page_id", "url", "html", F.coalesce(host_of(F.col("url")), F.lit("")).alias("host"), F.xxhash64("html").alias("page"))
-    outer = stage(rows.where("html is not null").mapInArrow(_outer_batches, "host string, page long, tokens binary, undecided boolean")
-                  .where("length(tokens) > 0").dropDuplicates(["host", "page"]), "host-streams")
+    rows = pages.select("page_id", "url", "html", F.coalesce(host_of(F.col("url")), F.lit("")).alias("host"))
+    read = stage(rows.mapInArrow(_body_batches, rows.select("page_id", "url", "host").schema.add("body", "string")), "page-blocks")
+    outer = read.where("body <> ''").select("host", F.xxhash64("body").alias("page"), "body").dropDuplicates(["host", "page"])
     hosts = outer.groupBy("host").agg(F.ceil(F.count("*") / STREAM).alias("streams"))
     streams = outer.join(hosts, "host").withColumn("stream", F.pmod(F.col("page"), F.col("streams")))
     windows = streams.groupBy("host", "stream").applyInPandas(_stream_windows, "host string, window long, pages long")
-    repeated = windows.groupBy("host", "window").agg(F.sum("pages").alias("pages")).where("pages > 1").select("host", "window")
-    asked = outer.where("undecided").select("host", "page", "tokens").mapInPandas(_marked, "host string, page long, window long, at long")
-    covered = asked.join(repeated, ["host", "window"]).groupBy("host", "page").agg(F.collect_list("at").alias("covered"))
-    covered = stage(covered, "covered-windows")
-    if covered.isEmpty():
-        rows = rows.withColumn("covered", F.lit(None).cast("array<long>"))
-    else:
-        rows = rows.join(covered, ["host", "page"], "left")
-    return rows.select("page_id", "url", "html", "covered").mapInArrow(_text_batches, rows.select("page_id", "url").schema.add("text", "string"))
+    repeated = windows.groupBy("host", "window").agg(F.sum("pages").alias("pages")).where("pages > 1")
+    repeated = stage(repeated.groupBy("host").agg(F.sort_array(F.collect_list("window")).alias("repeated")), "repeated-windows")
+    return read.join(repeated, "host", "left").select("page_id", "url", "body", "repeated").mapInArrow(
+        _text_batches, read.select("page_id", "url").schema.add("text", "string"))
