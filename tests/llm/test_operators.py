@@ -299,6 +299,17 @@ def test_html_copied_articles_count_as_one(spark):
     assert [got[i] for i in range(8)] == [f"{text}\nread on {i} may" for i in range(8)]
 
 
+def test_html_copies_and_quotations_are_not_boilerplate(spark):
+    text, quote, notice = _prose(3, 120), _prose(4, 14), " ".join(f"legal{i}" for i in range(30))
+    copies = [(i, f"http://a.example/{i}", f"<head><link href='{i}'></head><div id='x{i}'>{text}</div><p>{i} May</p>") for i in range(5)]
+    quoted = [(10 + i, f"http://b.example/{i}", f"<p>{_prose(20 + i, 40)} {quote if i < 2 else ''}</p><p>{notice}</p>") for i in range(12)]
+    loose = [(30 + i, (None, "x", "/y")[i % 3], f"<p>{text} {_prose(60 + i, 90)}</p>") for i in range(6)]
+    got = _extract(spark, copies + quoted + loose)
+    assert [got[i] for i in range(5)] == [f"{text}\n{i} May" for i in range(5)]
+    assert [got[10 + i] for i in range(12)] == [f"{_prose(20 + i, 40)} {quote if i < 2 else ''}".strip() for i in range(12)]
+    assert [got[30 + i] for i in range(6)] == [f"{text} {_prose(60 + i, 90)}" for i in range(6)]
+
+
 def test_window_order_is_a_suffix_order():
     rng = np.random.default_rng(1)
     streams = [rng.integers(0, 3, n).astype(np.uint64) for n in (0, 3, 30, 50)]

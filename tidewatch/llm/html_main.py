@@ -3,15 +3,16 @@
 A page is read into blocks, each inside its article (article, main, role=main), inside something that never is text (menus,
 headers, footers, sidebars, notices, adverts, forms, comments, scripts, markup), or neither. Blocks of the last kind and of
 articles are judged by repetition: the token streams of whole pages are laid end to end for a host, a suffix array ordered by the
-first RUN tokens finds substrings of RUN tokens or more that occur on distinct pages, and what these cover is removed; the
-unique runs stay. Near copies count as one page, so a page does not turn the text of its copies into boilerplate: pages whose
+first RUN tokens finds substrings of RUN tokens or more that occur on a SHARE of the host's distinct pages, LEAST at least, and
+what these cover is removed; the other runs stay. Near copies count as one page, so a page does not turn the text of its copies into boilerplate: pages whose
 articles (open blocks where there is none) share NEAR of their distinct runs of GRAM tokens, measured on HASHES smallest hashes.
 
-A host's pages are ordered STREAM at a time; a substring's pages are counted over all streams of the host, near copies in each.
+A host's pages are ordered STREAM at a time; a substring's pages are added up over the streams of the host in which LEAST pages
+have it, near copies counting once in each.
 (A token lies in a repeated substring of RUN tokens or more exactly if it lies in a repeated window of RUN tokens.)
 
-Defined cases: null and empty html give an empty text; unclosed and cut-off markup ends with the page; a null url is a host of
-its own; equal rows get equal texts; an empty table gives no rows; columns besides page_id, url and html are not looked at.
+Defined cases: null and empty html give an empty text; unclosed and cut-off markup ends with the page; a page
+whose url is null or names no host is compared with no other; equal rows get equal texts; an empty table gives no rows; columns besides page_id, url and html are not looked at.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from tidewatch.sources.storage import stage
 
 RUN = 12            # tokens of the shortest substring that counts
 STREAM = 2_048      # pages ordered together
+SHARE, LEAST = 0.2, 3   # of a host's pages, one for each class of near copies
 GRAM, NEAR, HASHES = 4, 0.8, 64
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^>]*\Z", re.S)
@@ -194,21 +196,22 @@ def window_order(streams: list[np.ndarray], run: int = RUN) -> tuple[np.ndarray,
 
 
 def _stream_windows(frame: pd.DataFrame) -> pd.DataFrame:
-    """Windows of one stream of pages that several classes of near copies have: host, window (its hash) and pages (classes)."""
+    """Of one stream of pages: host, window (its hash) and pages (classes of near copies that have it, LEAST at least); and a
+    row without a window for the number of classes."""
     frame = frame.sort_values("page")
     found = [_unpack(b) for b in frame["body"]]
     streams = [_tokens(f) for f in found]
-    rank, owner, fits = window_order(streams)
-    if not fits.any():
-        return pd.DataFrame({"host": [], "window": [], "pages": []})
     kind = near_copies(np.array([_sketch(f, t) for f, t in zip(found, streams)]))
+    rank, owner, fits = window_order(streams)
     key = bt.gram_hashes(np.concatenate(streams), RUN)
     place = np.flatnonzero(fits)
     seen = np.unique(rank[place] * len(streams) + kind[owner[place]]) // len(streams)
     ranks, pages = np.unique(seen, return_counts=True)
-    first = np.zeros(rank.max() + 1, np.int64)
+    ranks, pages = ranks[pages >= LEAST], pages[pages >= LEAST]
+    first = np.zeros(len(rank), np.int64)
     first[rank[place][::-1]] = place[::-1]
-    return pd.DataFrame({"host": frame["host"].iloc[0], "window": key[first[ranks]].view(np.int64), "pages": pages})
+    return pd.DataFrame({"host": frame["host"].iloc[0], "window": pd.array([None, *key[first[ranks]].view(np.int64)], "Int64"),
+                         "pages": np.concatenate([[kind.max() + 1], pages])})
 
 
 def _body_batches(batches):
@@ -245,13 +248,15 @@ def _text_batches(batches):
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url and text of every row of pages."""
-    rows = pages.select("page_id", "url", "html", F.coalesce(host_of(F.col("url")), F.lit("")).alias("host"))
+    rows = pages.select("page_id", "url", "html", F.nullif(host_of(F.col("url")), F.lit("")).alias("host"))
     read = stage(rows.mapInArrow(_body_batches, rows.select("page_id", "url", "host").schema.add("body", "string")), "page-blocks")
-    outer = read.where("body <> ''").select("host", F.xxhash64("body").alias("page"), "body").dropDuplicates(["host", "page"])
+    outer = read.where("host is not null and body <> ''").select("host", F.xxhash64("body").alias("page"), "body").dropDuplicates(["host", "page"])
     hosts = outer.groupBy("host").agg(F.ceil(F.count("*") / STREAM).alias("streams"))
     streams = outer.join(hosts, "host").withColumn("stream", F.pmod(F.col("page"), F.col("streams")))
     windows = streams.groupBy("host", "stream").applyInPandas(_stream_windows, "host string, window long, pages long")
-    repeated = windows.groupBy("host", "window").agg(F.sum("pages").alias("pages")).where("pages > 1")
+    counts = stage(windows.groupBy("host", "window").agg(F.sum("pages").alias("pages")), "host-windows")
+    classes = counts.where("window is null").select("host", F.col("pages").alias("classes"))
+    repeated = counts.where("window is not null").join(classes, "host").where(F.col("pages") >= SHARE * F.col("classes"))
     repeated = stage(repeated.groupBy("host").agg(F.sort_array(F.collect_list("window")).alias("repeated")), "repeated-windows")
     return read.join(repeated, "host", "left").select("page_id", "url", "body", "repeated").mapInArrow(
         _text_batches, read.select("page_id", "url").schema.add("text", "string"))
