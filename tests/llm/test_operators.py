@@ -283,6 +283,20 @@ def _prose(seed, n):
     return " ".join(f"w{rng.randrange(5000)}" for _ in range(n))
 
 
+@pytest.mark.parametrize("tag", ["div class='no-sidebar'", "div id='menu-open'", "div class='page with-sidebar'", "div class='page sidebar'",
+                                 "form id='all'"])
+def test_html_wrappers_of_the_page_do_not_reject_it(tag):
+    end, text = tag.split()[0], _prose(1, 40)
+
+    def kept(page):
+        return [t for where, t in html_main.blocks(page) if where != html_main.NEVER]
+    for inner in (f"<article><p>{text}</p></article>", f"<main><p>{text}</p><p class='ad'>buy</p></main>", f"<div role='main'>{text}</div>", f"<div><p>{text}</p></div>"):
+        page = (f"<body><{tag}><nav>Home</nav>{inner}<div class='sidebar'>more</div><div class='related'><article>teaser</article></div>"
+                f"<footer>f</footer></{end}></body>")
+        assert kept(page) == [text]
+    assert kept(f"<body><div class='sidebar'>side</div><p>{text}</p><div class='comments'><article>{text} {text * 20}</article></div>") == [text]
+
+
 def test_html_repetition_decides_beside_and_inside_articles(spark):
     call = " ".join(f"subscribe{i}" for i in range(20))
     rows = [(i, f"http://a.example/{i}", f"<main><p>{_prose(i, 60)}</p><div>{call}</div></main><div>{call} x{i}</div>") for i in range(12)]

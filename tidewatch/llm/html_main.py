@@ -1,8 +1,10 @@
 """HTML extraction: article text, with a suffix array per host.
 
 A page is read into blocks, each inside its article (article, main, role=main), inside something that never is text (menus,
-headers, footers, sidebars, notices, adverts, forms, comments, scripts, markup), or neither. Blocks of the last kind and of
-articles are judged by repetition: the token streams of whole pages are laid end to end for a host, a suffix array ordered by the
+headers, footers, sidebars, notices, adverts, forms, comments, scripts, markup), or neither. What only its class, id or being a
+form rejects may be a wrapper of the page: a main inside starts anew, so do the articles under the fewest such elements, and one
+that holds WRAP of the page's words is not rejected (comments, consents and lists of related pages always are; articles inside
+them count if the page has no other text). Blocks of the last kind and of articles are judged by repetition: the token streams of whole pages are laid end to end for a host, a suffix array ordered by the
 first RUN tokens finds substrings of RUN tokens or more that occur on a SHARE of the host's distinct pages, LEAST at least, and
 what these cover is removed; the other runs stay. Near copies count as one page, so a page does not turn the text of its copies into boilerplate: pages whose
 articles (open blocks where there is none) share NEAR of their distinct runs of GRAM tokens, measured on HASHES smallest hashes.
@@ -31,6 +33,7 @@ from tidewatch.sources.storage import stage
 
 RUN = 12            # tokens of the shortest substring that counts
 STREAM = 2_048      # pages ordered together
+WRAP = 0.9          # of a page's words, those of menus, headers and the like left out
 SHARE, LEAST = 0.2, 3   # of a host's pages, one for each class of near copies
 GRAM, NEAR, HASHES = 4, 0.8, 64
 
@@ -41,47 +44,79 @@ _BLOCK = {"address", "article", "aside", "blockquote", "body", "center", "dd", "
           "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hgroup", "hr", "html", "li", "main",
           "menu", "nav", "ol", "p", "pre", "search", "section", "summary", "table", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-_NEVER = {"nav", "aside", "footer", "form", "head", "menu", "search", "dialog", "button", "select", "object", "audio", "video", "canvas"}
+_NEVER = {"nav", "aside", "footer", "head", "menu", "search", "dialog", "button", "select", "object", "audio", "video", "canvas"}
 _SIGNS = frozenset("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice "
                    "alert newsletter subscribe signup popup modal overlay sidebar menu nav navbar navigation breadcrumb breadcrumbs footer comment "
                    "comments replies disqus related recommended share sharing social widget pagination login search copyright skip".split())
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "alertdialog", "dialog", "menu", "menubar"}
+_PARTS = {"comment", "comments", "replies", "disqus", "related", "recommended", "cookie", "cookies", "consent", "gdpr"}   # signs of no wrapper
+_STATES = {"no", "not", "with", "without", "has", "hide", "is"}   # a class that begins so tells what a page has
 ARTICLE, OPEN, NEVER = 2, 1, 0
 
 
-def _place(name: str, attrs: str, inside: int) -> int:
-    """Where the content of an element belongs; inside: where the element itself stands."""
+def _signs(found: dict) -> set[str]:
+    names = [re.split(r"[_-]+", n) for n in (found.get("class", "") + " " + found.get("id", "")).split()]
+    return {part for n in names if n[0] not in _STATES for part in n}
+
+
+def _place(name: str, attrs: str, inside: int) -> tuple[int, set[str], str]:
+    """Where the content of an element belongs, the signs for which it may be rejected, and main or article if it opens one;
+    inside: where the element stands."""
     if inside == NEVER or name in _NEVER:
-        return NEVER
+        return NEVER, set(), ""
     found = {}
     if attrs and not attrs.isspace():
         for key, a, b, c in _ATTR.findall(attrs):
             found[key.lower()] = (a or b or c).lower()
         if re.search(r"(?:^|\s)hidden(?:\s|$)", re.sub(r"\"[^\"]*\"|'[^']*'", "", attrs)) or found.get("aria-hidden") == "true":
-            return NEVER
-    if name in ("article", "main") or found.get("role") in ("main", "article"):
-        signs = set(re.split(r"[\s_-]+", found.get("class", "") + " " + found.get("id", "")))
-        return NEVER if name == "article" and signs & {"comment", "comments", "reply"} else ARTICLE
+            return NEVER, set(), ""
+    opened = found.get("role") if found.get("role") in ("main", "article") else name if name in ("article", "main") else ""
+    if opened:
+        return (NEVER if name == "article" and _signs(found) & {"comment", "comments", "reply"} else ARTICLE), set(), opened
     if name in ("html", "body"):
-        return inside
+        return inside, set(), ""
     if name == "header" and inside != ARTICLE or found.get("role") in _ROLES:
-        return NEVER
-    signs = set(re.split(r"[\s_-]+", found.get("class", "") + " " + found.get("id", "")))
-    if signs & _SIGNS or "header" in signs and inside != ARTICLE:
-        return NEVER
-    return inside
+        return NEVER, set(), ""
+    signs = _signs(found)
+    against = signs & (_SIGNS if inside == ARTICLE else _SIGNS | {"header"})
+    if name == "form":
+        against.add("form")
+    return inside, against, ""
+
+
+def _settle(found: list[tuple[int, str, tuple, int]], against: list[set[str]]) -> list[tuple[int, str]]:
+    """Blocks with their places after wrappers are told from rejected elements. found: place, text, the elements around it that
+    may be rejected and how many of them stand outside its article."""
+    size, total = [0] * len(against), 0
+    for where, text, path, _ in found:
+        n = 0 if where == NEVER else text.count(" ") + 1
+        total += n
+        for i in path:
+            size[i] += n
+    wrapper = {i for i, signs in enumerate(against) if size[i] >= WRAP * total and not signs & _PARTS}
+    out = []
+    for where, text, path, base in found:
+        outside, within = ([i for i in p if i not in wrapper] for p in (path[:base], path[base:]))
+        # how little stands against an article: nothing of _PARTS, then few elements
+        rank = (any(against[i] & _PARTS for i in outside), len(outside))
+        out.append((NEVER if within else where, text, rank))
+    least = min((rank for where, _, rank in out if where != NEVER), default=None)
+    if least is not None and not least[0]:
+        least = min((rank for where, _, rank in out if where == ARTICLE and not rank[0]), default=None)
+    return [(NEVER if where == ARTICLE and rank != least else where, text) for where, text, rank in out]
 
 
 def blocks(page: str) -> list[tuple[int, str]]:
     """(place, text) of each block with text, in page order; character references decoded, white space made single."""
-    out: list[tuple[int, str]] = []
-    stack: list[tuple[str, int]] = []
-    place, text, at = OPEN, [], 0
+    out: list[tuple[int, str, tuple, int]] = []
+    stack: list[tuple[str, tuple]] = []
+    against: list[set[str]] = []
+    place, text, at = (OPEN, (), 0), [], 0
 
     def close():
         joined = " ".join(entities.unescape("".join(text)).split())
         if joined:
-            out.append((place, joined))
+            out.append((place[0], joined, *place[1:]))
         text.clear()
 
     for m in _TOKEN.finditer(page):
@@ -116,7 +151,15 @@ def blocks(page: str) -> list[tuple[int, str]]:
             continue
         if name in _VOID or m[3].endswith("/"):
             continue
-        within = _place(name, m[3], place)
+        where, path, base = place
+        within, signs, opened = _place(name, m[3], where)
+        if signs:
+            against.append(signs)
+            path += (len(against) - 1,)
+        elif opened:
+            path = () if opened == "main" else path
+            base = len(path)
+        within = (within, path, base)
         if within != place or name in _BLOCK:
             if within != place:
                 close()
@@ -124,7 +167,7 @@ def blocks(page: str) -> list[tuple[int, str]]:
             place = within
     text.append(page[at:])
     close()
-    return out
+    return _settle(out, against)
 
 
 def host_of(url) -> F.Column:
