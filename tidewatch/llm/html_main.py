@@ -7,7 +7,7 @@ that holds WRAP of the page's words is not rejected (comments, consents and list
 them count if the page has no other text). Blocks of the last kind and of articles are judged by repetition: the token streams of whole pages are laid end to end for a host, a suffix array ordered by the
 first RUN tokens finds substrings of RUN tokens or more that occur on a SHARE of the host's distinct pages, LEAST at least, and
 what these cover is removed; the other runs stay. Near copies count as one page, so a page does not turn the text of its copies into boilerplate: pages whose
-articles (open blocks where there is none) share NEAR of their distinct runs of GRAM tokens, measured on HASHES smallest hashes.
+articles (open blocks where there is none) share NEAR of their distinct runs of GRAM tokens, measured on the smallest hashes of HASHES ranges.
 
 A host's pages are ordered STREAM at a time; a substring's pages are added up over the streams of the host in which LEAST pages
 have it, near copies counting once in each.
@@ -33,6 +33,7 @@ from tidewatch.sources.storage import stage
 
 RUN = 12            # tokens of the shortest substring that counts
 STREAM = 2_048      # pages ordered together
+KEPT = 100_000      # pages that a task remembers
 WRAP = 0.9          # of a page's words, those of menus, headers and the like left out
 SHARE, LEAST = 0.2, 3   # of a host's pages, one for each class of near copies
 GRAM, NEAR, HASHES = 4, 0.8, 64
@@ -188,29 +189,39 @@ def _tokens(found: list[tuple[int, str]]) -> np.ndarray:
     return bt.Words(np.frombuffer(data, np.uint8), np.array([0, len(data)])).hashes()
 
 
-_SEEDS = np.random.default_rng(7).integers(1, 1 << 63, HASHES).astype(np.uint64)
+_EMPTY = np.uint32(0xFFFFFFFF)
 
 
 def _sketch(found: list[tuple[int, str]], tokens: np.ndarray) -> np.ndarray:
-    """The smallest hashes of the article's runs of GRAM tokens, or of the open blocks' or the page's."""
+    """Of the article's runs of GRAM tokens, or of the open blocks' or the page's, the smallest hash in each of HASHES ranges."""
     place = np.repeat([where for where, _ in found], [t.count(" ") + 1 for _, t in found])
-    best = max((where for where, _ in found), default=NEVER)
-    own = tokens[place == best]
-    grams = bt.gram_hashes(own, min(GRAM, len(own)))
-    return np.array([bt.mix64(grams ^ seed).min() for seed in _SEEDS]) if len(grams) else np.zeros(HASHES, np.uint64)
+    own = tokens[place == max(where for where, _ in found)]
+    grams = np.sort(bt.gram_hashes(own, min(GRAM, len(own))))
+    span, first = np.unique(grams >> np.uint64(64 - HASHES.bit_length() + 1), return_index=True)
+    out = np.full(HASHES, _EMPTY)
+    out[span] = np.minimum(grams[first] & np.uint64(0xFFFFFFFF), _EMPTY - 1)
+    return out
 
 
 def near_copies(sketches: np.ndarray) -> np.ndarray:
-    """The class of each page: that of the first page, one for each class, with which it agrees in NEAR of its hashes."""
+    """The class of each page: that of the first page, one for each class, with which it agrees in NEAR of the ranges not
+    empty in both."""
     kind = np.zeros(len(sketches), np.int64)
     first = np.empty_like(sketches)
+    part = HASHES // 4
+    head = np.empty((len(sketches), part), sketches.dtype)
+    least = part - int(HASHES * (1 - NEAR))      # equal ones in the first quarter if all others are equal
     n = 0
     for i, sketch in enumerate(sketches):
-        alike = np.flatnonzero((first[:n] == sketch).mean(axis=1) >= NEAR) if n else ()
-        if len(alike):
-            kind[i] = alike[0]
+        near = np.flatnonzero(np.count_nonzero(head[:n] == sketch[:part], axis=1) >= least)
+        equal = first[near] == sketch
+        void = equal & (sketch == _EMPTY)
+        filled = HASHES - np.count_nonzero(void, axis=1)
+        near = near[np.count_nonzero(equal & ~void, axis=1) >= NEAR * filled]
+        if len(near):
+            kind[i] = near[0]
         else:
-            kind[i], first[n] = n, sketch
+            kind[i], first[n], head[n] = n, sketch, sketch[:part]
             n += 1
     return kind
 
@@ -257,12 +268,32 @@ def _stream_windows(frame: pd.DataFrame) -> pd.DataFrame:
                          "pages": np.concatenate([[kind.max() + 1], pages])})
 
 
+def _bodies(html) -> pa.Array:
+    return pa.array([_pack(blocks(h or "")) for h in html.to_pylist()], pa.string())
+
+
 def _body_batches(batches):
     for batch in batches:
-        html = batch.column(batch.schema.get_field_index("html")).to_pylist()
-        yield pa.RecordBatch.from_arrays(
-            [*(batch.column(batch.schema.get_field_index(c)) for c in ("page_id", "url", "host")), pa.array([_pack(blocks(h or "")) for h in html], pa.string())],
-            names=["page_id", "url", "host", "body"])
+        at = batch.schema.get_field_index
+        yield pa.RecordBatch.from_arrays([*(batch.column(at(c)) for c in ("page_id", "url", "host")), _bodies(batch.column(at("html")))],
+                                         names=["page_id", "url", "host", "body"])
+
+
+def _stream_batches(batches):
+    """Pages to compare; of equal ones that a task meets among its last KEPT, only the first."""
+    seen = {}
+    for batch in batches:
+        at = batch.schema.get_field_index
+        rows = []
+        for i, key in enumerate(zip(*(batch.column(at(c)).to_pylist() for c in ("host", "page")))):
+            if key not in seen:
+                rows.append(i)
+                seen[key] = None
+                if len(seen) > KEPT:
+                    del seen[next(iter(seen))]
+        part = batch.take(pa.array(rows, pa.int64()))
+        yield pa.RecordBatch.from_arrays([*(part.column(at(c)) for c in ("host", "stream", "page")), _bodies(part.column(at("html")))],
+                                         names=["host", "stream", "page", "body"])
 
 
 def _unique_runs(found: list[tuple[int, str]], repeated) -> str:
@@ -292,14 +323,17 @@ def _text_batches(batches):
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url and text of every row of pages."""
     rows = pages.select("page_id", "url", "html", F.nullif(host_of(F.col("url")), F.lit("")).alias("host"))
-    read = stage(rows.mapInArrow(_body_batches, rows.select("page_id", "url", "host").schema.add("body", "string")), "page-blocks")
-    outer = read.where("host is not null and body <> ''").select("host", F.xxhash64("body").alias("page"), "body").dropDuplicates(["host", "page"])
-    hosts = outer.groupBy("host").agg(F.ceil(F.count("*") / STREAM).alias("streams"))
-    streams = outer.join(hosts, "host").withColumn("stream", F.pmod(F.col("page"), F.col("streams")))
+    asked = rows.where("host is not null and html <> ''").select("host", F.xxhash64("html").alias("page"), "html")
+    hosts = asked.select("host", "page").distinct().groupBy("host").agg(F.ceil(F.count("*") / STREAM).alias("streams"))
+    streams = asked.join(stage(hosts, "page-hosts"), "host").select("host", F.pmod(F.col("page"), F.col("streams")).alias("stream"), "page", "html")
+    # one exchange serves both the copies left over from other tasks and the streams
+    streams = streams.mapInArrow(_stream_batches, "host string, stream long, page long, body string").where("body <> ''")
+    streams = streams.repartition("host", "stream").dropDuplicates(["host", "stream", "page"])
     windows = streams.groupBy("host", "stream").applyInPandas(_stream_windows, "host string, window long, pages long")
     counts = stage(windows.groupBy("host", "window").agg(F.sum("pages").alias("pages")), "host-windows")
     classes = counts.where("window is null").select("host", F.col("pages").alias("classes"))
     repeated = counts.where("window is not null").join(classes, "host").where(F.col("pages") >= SHARE * F.col("classes"))
     repeated = stage(repeated.groupBy("host").agg(F.sort_array(F.collect_list("window")).alias("repeated")), "repeated-windows")
+    read = rows.mapInArrow(_body_batches, rows.select("page_id", "url", "host").schema.add("body", "string"))
     return read.join(repeated, "host", "left").select("page_id", "url", "body", "repeated").mapInArrow(
         _text_batches, read.select("page_id", "url").schema.add("text", "string"))
