@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import sys
 from collections import Counter
 
 import numpy as np
@@ -259,6 +260,28 @@ def test_sentencepiece_parity(spark):
     assert all(r.ids is None or r.round_trip and r.parity for r in coded.collect())
 
 
+def test_sentencepiece_compares_every_row(spark, monkeypatch):
+    model = sentencepiece_backend.load_model(spark, f"{TOKENIZERS}/piece_bpe_32k.model")
+    rows = [(i, f"Wort {i} a  b ", None, None) for i in range(100)] + [(200, "▁ x", None, None), (201, " ", None, None), (202, None, None, None)]
+    got = {r.doc_id: r.parity for r in sentencepiece_backend.encode(docs(spark, rows), model).collect()}
+    assert got.pop(202) is None and set(got.values()) == {True}
+    other = sentencepiece_backend.original(model)
+    own = sentencepiece_backend.Backend(model, other)
+    learn = own.tokenizer
+
+    class Wrong:
+        def encode_batch_fast(self, words, **settings):
+            return learn.encode_batch_fast(["▁odd" if w == "▁rare" else w for w in words], **settings)
+
+        def __getattr__(self, name):
+            return getattr(learn, name)
+    own.tokenizer = Wrong()
+    assert own.encode_checked(["a rare b", "a b", "rare", "odd"])[2] == [False, True, False, True]
+    monkeypatch.setitem(sys.modules, "sentencepiece", None)
+    with pytest.raises(ImportError):
+        sentencepiece_backend.differences(model, ["a"])
+
+
 def test_html_blocks_and_repeated_runs(spark):
     page = ("<html><head><title>t</title></head><body><nav><ul><li>Home</ul></nav><div id='cookie-notice'>We use</div><header>Top</header>"
             "<main><h1>T &lt;x&gt;</h1><p>a <b>b</b><br>c<p class='ad'>buy<p>d<ul><li>1<li>2</ul><div class='comments'><p>no</p></div>"

@@ -2,8 +2,9 @@
 
 The model protobuf is read field by field; from it the normaliser, the metaspace marker, the piece table with its scores (a
 unigram model, or the merges that the scores of a BPE model imply) and byte fallback are rebuilt. Texts are cut before runs of
-the marker where no piece reaches across such a border, so a task encodes a word once, by the library's threads, and keeps its ids. The rebuilt tokenizer is compared with the original library on probes before any table is encoded, and on rows picked
-by hash while it is.
+the marker where no piece reaches across such a border, so a task encodes a word once, by the library's threads, and keeps its ids. The rebuilt tokenizer is compared with the original
+library on probes before any table is encoded, and while it is on every word that a task learns, and on the whole text of one
+row in VERIFY and of every text that is normalised, is not cut or holds a marker. Without the original library both fail.
 
 Defined cases: a null text has null ids, an empty one none; equal texts get equal ids; the strings of control pieces in a text
 are ordinary text; columns besides doc_id and text are not looked at.
@@ -29,7 +30,7 @@ PROBES = ("", " ", "a", " a", "a ", "  two  spaces ", "tab\tline\nend\r\n", "<s>
           "Café naïve Å ﬁ Å", "你好 \U0001f600 الع 12345 3.14", "A" * 70, "x\u0000y", " 　 ​")
 WORDS = 200_000   # coded words that a task keeps
 THREADS = 2       # of the library, in a task
-VERIFY = 64       # one row in so many is compared with the original library
+VERIFY = 64       # the whole text of one row in so many is compared as well
 
 
 def _fields(data: bytes):
@@ -82,7 +83,9 @@ def read_model(data: bytes) -> dict:
 class Backend:
     """encode and decode lists of texts like the original library."""
 
-    def __init__(self, data: bytes):
+    def __init__(self, data: bytes, original=None):
+        """original: the original library's processor of the model, to compare with."""
+        self.original = original
         from tokenizers import AddedToken, Regex, Tokenizer, decoders, models, normalizers
         spec = read_model(data)
         if spec["suffix"] or not spec["escape"]:
@@ -128,25 +131,39 @@ class Backend:
         return (MARK if self.spec["dummy_prefix"] else "") + text.replace(" ", MARK)
 
     def _forget(self) -> None:
-        self.words, self.flat, self.begin, self.size, self.exact = {}, np.zeros(0, np.int32), *(np.zeros(0, np.int64) for _ in range(2)), np.zeros(0, bool)
+        self.words, self.flat, self.begin, self.size = {}, np.zeros(0, np.int32), *(np.zeros(0, np.int64) for _ in range(2))
+        self.exact, self.alike = np.zeros(0, bool), np.zeros(0, bool)
 
     def _learn(self, fresh: list[str]) -> None:
-        """Codes words not met before and notes which of them decode to themselves."""
+        """Codes words not met before and notes which of them decode to themselves and are coded like the original does."""
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
         size = np.array([len(i) for i in ids], np.int64)
         back = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
         unk = self.spec["unk_id"]
         exact = np.array([b == w.replace(MARK, " ") and MARK not in b and unk not in i for b, w, i in zip(back, fresh, ids)], bool)
         self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(size) - size])
+        self.alike = np.concatenate([self.alike, self._alike(fresh, ids)])
         self.size, self.exact = np.concatenate([self.size, size]), np.concatenate([self.exact, exact])
         self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum()))])
 
+    def _by_words(self) -> bool:
+        """Whether the words' ids are the original's of a text that holds no marker."""
+        return self.cut is not None and self.normalizer is None and self.spec["dummy_prefix"]
+
+    def _alike(self, words: list[str], ids: list[list[int]]) -> np.ndarray:
+        if self.original is None or not self._by_words():
+            return np.zeros(len(words), bool)
+        # the first mark is the one the original puts before a text; alone it is no text there, but a piece
+        theirs = self.original.encode([w[1:].replace(MARK, " ") for w in words], num_threads=1)
+        return np.array([i == ([self.original.piece_to_id(MARK)] if w == MARK else t) for w, i, t in zip(words, ids, theirs)], bool)
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
         return self.encode_checked(texts)[0]
 
-    def encode_checked(self, texts: list[str]) -> tuple[list[np.ndarray], list[bool]]:
-        """Ids of each text and whether they decode to it. Words met before are not coded again; at most WORDS are kept."""
+    def encode_checked(self, texts: list[str]) -> tuple[list[np.ndarray], list[bool], list[bool | None]]:
+        """Ids of each text, whether they decode to it, and whether its words have the original's ids (None: only the whole
+        text can tell). Words met before are not coded again; at most WORDS are kept."""
         if len(self.words) > WORDS:
             self._forget()
         words, parts, fresh = self.words, [], len(self.words)
@@ -156,7 +173,7 @@ class Backend:
             parts.append(np.array([words.setdefault(w, len(words)) for w in found], np.int64))
         if len(words) > fresh:
             self._learn(list(islice(words, fresh, None)))
-        out, exact = [], []
+        out, exact, alike, by_words = [], [], [], self.original is not None and self._by_words()
         plain = self.normalizer is None
         for text, p in zip(texts, parts):
             n = self.size[p]
@@ -166,7 +183,8 @@ class Backend:
             # a space is a mark and a mark is a mark: texts that hold marks, or are normalised, are decoded whole
             exact.append(bool(self.exact[p].all()) if plain and MARK not in text and self.spec["dummy_prefix"]
                          else self.decode([ids])[0] == text)
-        return out, exact
+            alike.append(bool(self.alike[p].all()) if by_words and MARK not in text else None)
+        return out, exact, alike
 
     def decode(self, ids: list) -> list[str]:
         """Texts of id lists; control pieces are silent, an unknown piece is the original's sign for it."""
@@ -191,22 +209,24 @@ class Backend:
 _made: dict = {}
 
 
+def original(data: bytes):
+    """The original library's processor of a model."""
+    import sentencepiece
+    return sentencepiece.SentencePieceProcessor(model_proto=data)
+
+
 def backend(data: bytes) -> Backend:
-    """A Backend, made once per process."""
+    """A Backend that compares with the original, made once per process."""
     key = hash(data)
     if key not in _made:
         _made.clear()
-        _made[key] = Backend(data)
+        _made[key] = Backend(data, original(data))
     return _made[key]
 
 
 def differences(data: bytes, texts) -> list[str]:
-    """Texts that the rebuilt tokenizer codes or decodes unlike the original library; all fine if that is not installed."""
-    try:
-        import sentencepiece
-    except ImportError:
-        return []
-    own, other = Backend(data), sentencepiece.SentencePieceProcessor(model_proto=data)
+    """Texts that the rebuilt tokenizer codes or decodes unlike the original library."""
+    own, other = Backend(data), original(data)
     mine = own.encode(list(texts))
     back = own.decode(mine)
     return [t for t, ids, b in zip(texts, mine, back) if ids.tolist() != other.encode(t) or b != other.decode(ids.tolist())]
@@ -226,28 +246,25 @@ def load_model(spark: SparkSession, path: str) -> bytes:
 
 
 def encode(docs: DataFrame, model: bytes, verify: int = VERIFY) -> DataFrame:
-    """doc_id, ids, round_trip (decoding gives the text back) and parity (null for rows not compared)."""
+    """doc_id, ids, round_trip (decoding gives the text back) and parity (the ids are the original library's; null for a null
+    text). Whole texts are compared for one row in verify, 0 for none, besides those that words cannot tell."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
-        own = backend(shared.value)
-        other = None
-        try:
-            import sentencepiece
-            other = sentencepiece.SentencePieceProcessor(model_proto=shared.value) if verify else None
-        except ImportError:
-            pass
+        own, row = backend(shared.value), 0
         for batch in batches:
             at_text, at_id = (batch.schema.get_field_index(c) for c in ("text", "doc_id"))
             for lo, buf, at in bt.chunks(batch, "text", 1 << 21):
                 part = batch.slice(lo, len(at) - 1)
                 texts = part.column(at_text).to_pylist()
-                ids, exact = own.encode_checked([t or "" for t in texts])
+                ids, exact, alike = own.encode_checked([t or "" for t in texts])
                 parity = []
-                for t, i in zip(texts, ids):
-                    look = other is not None and t is not None and int(bt.mix64(np.array([len(t) * 1000003 + len(i)], np.uint64))[0]) % verify == 0
-                    parity.append(other.encode(t) == i.tolist() if look else None)
+                for t, i, same in zip(texts, ids, alike):
+                    row += 1
+                    if t is not None and (same is None or verify and row % verify == 0):
+                        same = same is not False and own.original.encode(t) == i.tolist()
+                    parity.append(None if t is None else same)
                 size = np.array([0 if t is None else len(i) for t, i in zip(texts, ids)], np.int64)
                 borders = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
                 flat = np.concatenate([np.zeros(0, np.int32), *ids]).astype(np.int32)
