@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from tidewatch.llm import backoff_lm, html_main, langid, mixing, ngram_join, quality_forest, sentencepiece_backend, token_edits, topk_bitslice, toxicity
+from tidewatch.llm import backoff_lm, html_main, langid, mixing, ngram_join, quality_forest, sentencepiece_backend, simhash_join, token_edits, topk_bitslice, toxicity
 from tidewatch.session import configure
 from tidewatch.sources.tables import load
 
@@ -79,7 +79,12 @@ def op10_html_main(spark, sf_dir):
     return text.withColumn("n_chars", F.length("text").cast("long"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sliced_topk, op2_source_mix, op3_toxicity, op4_language, op5_ngram_join, op6_quality_forest, op7_token_edits, op8_backoff_lm, op9_sentencepiece, op10_html_main)}
+def op11_simhash_join(spark, sf_dir):
+    out = simhash_join.join(load(text_session(spark), sf_dir, "documents"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op1_sliced_topk, op2_source_mix, op3_toxicity, op4_language, op5_ngram_join, op6_quality_forest, op7_token_edits, op8_backoff_lm, op9_sentencepiece, op10_html_main, op11_simhash_join)}
 ORACLES: dict[str, str] = {
     "op1_sliced_topk": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) q FROM embeddings
