@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tidewatch.llm import queries, simhash_join
 from tests.llm.test_operators import EDGE, docs
@@ -134,3 +135,24 @@ def test_query_columns(spark, tmp_path):
     assert got.dtypes == [("doc_id", "bigint"), ("fingerprint", "string"), ("component_id", "bigint")]
     want = brute_classes([(i, brute_print(t)) for i, t, _, _ in rows])
     assert {(r.doc_id, r.fingerprint, r.component_id) for r in got.collect()} == {(i, f"{brute_print(t):016x}", want[i]) for i, t, _, _ in rows}
+
+
+def test_a_hub_is_split(spark):
+    """A node with most of the neighbours: the join with the smallest neighbours is a split skew join."""
+    from tidewatch.llm import components as cc
+    keys = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+            "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        edges = spark.range(1, 60_000).selectExpr("cast(0 as long) a", "id b").unionByName(spark.range(100_000, 110_000).selectExpr("id a", "id + 20000 b"))
+        edges = cc.stage(edges, "hub-test")
+        step = cc._large_star(edges.select(F.col("b").alias("a"), F.col("a").alias("b")).unionByName(edges))
+        step.collect()
+        assert "skew=true" in step._jdf.queryExecution().toString()
+        roots = dict(cc.components(edges).collect())
+        assert len(roots) == 80_000 and all(roots[i] == 0 for i in range(60_000)) and roots[120_005] == 100_005
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

@@ -2,7 +2,9 @@
 
 A large star step points every larger neighbour of a node at the node's smallest one, a small star step the smaller ones and the
 node itself; in a logarithmic number of rounds every node points at the smallest of its component. Neighbourhoods are never
-gathered: the smallest neighbour is an aggregate, joined back to the edges, and a hub's rows are split by the skew join.
+gathered: the smallest neighbour is an aggregate that is written and joined back to the edges. As it is read from files, both sides
+of that join cross an exchange of their own, so the adaptive skew join splits a hub's rows (an aggregate on the join key would be
+joined in place, hub and all).
 """
 
 from __future__ import annotations
@@ -15,13 +17,13 @@ from tidewatch.sources.storage import stage
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    least = stage(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
     return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = stage(down.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
