@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from tidewatch.llm import backoff_lm, html_main, langid, mixing, ngram_join, quality_forest, sentencepiece_backend, simhash_join, token_edits, topk_bitslice, toxicity
+from tidewatch.llm import backoff_lm, html_main, langid, mixing, ngram_join, quality_forest, sentencepiece_backend, simhash_join, token_align, token_edits, topk_bitslice, toxicity
 from tidewatch.session import configure
 from tidewatch.sources.tables import load
 
@@ -84,7 +84,13 @@ def op11_simhash_join(spark, sf_dir):
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_sliced_topk, op2_source_mix, op3_toxicity, op4_language, op5_ngram_join, op6_quality_forest, op7_token_edits, op8_backoff_lm, op9_sentencepiece, op10_html_main, op11_simhash_join)}
+def op13_token_align(spark, sf_dir):
+    spark = text_session(spark)
+    files = token_align.load_files(spark, f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
+    return token_align.digests(token_align.align(load(spark, sf_dir, "documents"), files))
+
+
+QUERIES = {f.__name__: f for f in (op1_sliced_topk, op2_source_mix, op3_toxicity, op4_language, op5_ngram_join, op6_quality_forest, op7_token_edits, op8_backoff_lm, op9_sentencepiece, op10_html_main, op11_simhash_join, op13_token_align)}
 ORACLES: dict[str, str] = {
     "op1_sliced_topk": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) q FROM embeddings
