@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from tidewatch.llm import backoff_lm, html_main, langid, mixing, ngram_join, quality_forest, sentencepiece_backend, simhash_join, token_align, token_edits, topk_bitslice, toxicity
+from tidewatch.llm import backoff_lm, html_main, langid, mixing, ngram_join, prefix_trie, quality_forest, sentencepiece_backend, simhash_join, token_align, token_edits, topk_bitslice, toxicity
 from tidewatch.session import configure
 from tidewatch.sources.tables import load
 
@@ -84,13 +84,18 @@ def op11_simhash_join(spark, sf_dir):
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op12_prefix_trie(spark, sf_dir):
+    nodes = prefix_trie.trie(prefix_trie.rebuild(load(text_session(spark), sf_dir, "conversations")))
+    return nodes.withColumn("ends_sha256", F.coalesce("ends_sha256", F.sha2(F.lit("").cast("binary"), 256)))
+
+
 def op13_token_align(spark, sf_dir):
     spark = text_session(spark)
     files = token_align.load_files(spark, f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
     return token_align.digests(token_align.align(load(spark, sf_dir, "documents"), files))
 
 
-QUERIES = {f.__name__: f for f in (op1_sliced_topk, op2_source_mix, op3_toxicity, op4_language, op5_ngram_join, op6_quality_forest, op7_token_edits, op8_backoff_lm, op9_sentencepiece, op10_html_main, op11_simhash_join, op13_token_align)}
+QUERIES = {f.__name__: f for f in (op1_sliced_topk, op2_source_mix, op3_toxicity, op4_language, op5_ngram_join, op6_quality_forest, op7_token_edits, op8_backoff_lm, op9_sentencepiece, op10_html_main, op11_simhash_join, op12_prefix_trie, op13_token_align)}
 ORACLES: dict[str, str] = {
     "op1_sliced_topk": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) q FROM embeddings
@@ -101,4 +106,23 @@ ORACLES: dict[str, str] = {
               WHERE a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id GROUP BY 1, 2)
         SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) "rank", vec_id, score
         FROM s QUALIFY "rank" <= 20""",
+    # crc32 in eight steps a byte; a prefix is a list of turns
+    "op12_prefix_trie": """
+        WITH t AS (SELECT conv_id, turn, {'r': coalesce(role, ''), 'x': coalesce(text, '')} v FROM conversations WHERE conv_id IS NOT NULL),
+        own AS (SELECT conv_id, list(v ORDER BY turn NULLS FIRST) turns FROM t GROUP BY conv_id),
+        h AS (SELECT conv_id, turns, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+                lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 6 h FROM own),
+        c AS (SELECT h.conv_id, list_concat(coalesce(b.turns[1:h.h], []), h.turns[h.h + 1:]) s FROM h LEFT JOIN own b ON b.conv_id = h.conv_id - h.conv_id % 100),
+        p AS (SELECT conv_id, s, unnest(generate_series(0, len(s))) d FROM c),
+        member AS (SELECT conv_id, d, s[1:d] prefix, s[1:d - 1] above, len(s) = d ends FROM p),
+        node AS (SELECT prefix, d, min(conv_id) conv_id, count(*) n, any_value(above) above,
+                        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) sha
+                 FROM member GROUP BY prefix, d),
+        kids AS (SELECT above prefix, count(*) n_children FROM node WHERE d > 0 GROUP BY above),
+        full_node AS (SELECT node.*, coalesce(n_children, 0) n_children FROM node LEFT JOIN kids USING (prefix)),
+        below AS (SELECT prefix[1:up] prefix, n_children, (n - 1) * coalesce(length(prefix[d].x), 0) saved
+                  FROM (SELECT *, unnest(generate_series(0, d)) up FROM full_node)),
+        total AS (SELECT prefix, count(*) FILTER (n_children = 0) n_leaves, CAST(sum(saved) AS BIGINT) saved_tokens FROM below GROUP BY prefix)
+        SELECT a.conv_id, a.d depth, parent.conv_id parent_conv_id, a.n n_convs, a.n_children, n_leaves, saved_tokens, a.sha ends_sha256
+        FROM full_node a JOIN total USING (prefix) LEFT JOIN node parent ON a.d > 0 AND parent.prefix = a.above""",
 }
