@@ -34,6 +34,7 @@ from tidewatch.sources.storage import stage
 SEED = 42            # of XXH64
 RUN = 1 << 16        # shingles whose bits are counted at once
 PIECE = 11           # bits of a piece of a partition, over which fingerprints are counted
+ADDERS = 8           # tasks that add up what the others counted
 PROBE_COST = 30.0    # a probe row, in comparisons
 BLOCK = 4096         # fingerprints of a block of a frequent value
 PAIRS = 1 << 21      # comparisons made at once
@@ -80,18 +81,22 @@ def _longs(batch: pa.RecordBatch, name: str) -> np.ndarray:
 
 
 def _tally(prints: DataFrame, cells: int, count) -> np.ndarray:
-    """Sum over all fingerprints of count(fps), an array of `cells` numbers; each task adds up its own."""
+    """Sum over all fingerprints of count(fps), an array of `cells` numbers. Each task adds up its own, a few tasks add up theirs."""
     def run(batches):
         total = np.zeros(cells)
         for batch in batches:
             total += count(_longs(batch, "fp").view(np.uint64))
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["cell", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["total"])
 
-    found = prints.select("fp").mapInArrow(run, "cell long, n double").groupBy("cell").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(cells)
-    out[[r["cell"] for r in found]] = [r["n"] for r in found]
-    return out
+    def add(batches):
+        total = np.zeros(cells)
+        for batch in batches:
+            for part in batch.column(0).to_pylist():
+                total += np.frombuffer(part)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["total"])
+
+    rows = prints.select("fp").mapInArrow(run, "total binary").repartition(ADDERS).mapInArrow(add, "total binary").collect()
+    return sum((np.frombuffer(r["total"]) for r in rows), np.zeros(cells))
 
 
 def _bits(fps: np.ndarray) -> np.ndarray:
