@@ -26,7 +26,7 @@ import hashlib
 import json
 import os
 import re
-from itertools import accumulate, chain, islice, pairwise
+from itertools import accumulate, islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,8 @@ from pyspark.sql import functions as F
 from tidewatch.llm import bytetext as bt
 from tidewatch.llm.sentencepiece_backend import BYTE, MARK, read_model
 
-WORDS = 200_000          # aligned words that a task keeps
+WORDS = 300_000          # aligned words that a task keeps
+RUN = 256               # new words that are coded as one text
 FLAT = 1 << 23           # ids that it keeps for them
 BORDER = re.compile(r"(?<=\S)(?= \S)")
 
@@ -73,7 +74,6 @@ class Aligner:
         if not plain or not spec["escape"]:
             raise ValueError("A must be byte-level without a normaliser, B must write spaces as markers")
         self.by_words = still and not any(re.search(f"[^{MARK}]{MARK}", p) for p, _, _ in spec["pieces"])
-        self.loose: dict[str, bool] = {}     # whether a word is empty or has white space at an end, so that no border is sure
         self.forget()
 
     def forget(self) -> None:
@@ -81,55 +81,84 @@ class Aligner:
         self.shape = np.zeros((4, 0), np.int64)      # of each word: A tokens, B tokens, groups, whether its bytes come back
         self.flat = [np.zeros(0, np.int32)] * 4      # of all words: ids of A, of B, A tokens and B tokens of each group
 
-    def align(self, texts: list[str]) -> list[tuple[list[int], list[int], list[int], list[int], bool]]:
-        """For each text: ids of A and of B, how many of each every group has, and whether both give a space and the text back."""
-        ids_a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        ids_b = self.b.encode(texts, num_threads=1)
-        out = []
-        for text, a, b in zip(texts, ids_a, ids_b):
-            want = b" " + text.encode()
-            if b"".join([self.a_bytes[i] for i in a]) != want or b"".join([self.b_bytes[i] for i in b]) != want:
-                out.append(([], [], [], [], False))
+    def align(self, text: str, a: list[int], b: list[int]):
+        """Ids of A and of B, the byte offsets at which tokens of both end, and how many tokens of each end by then. None if the tokens
+        do not give a space and the text back."""
+        want = b" " + text.encode()
+        if b"".join(map(self.a_bytes.__getitem__, a)) != want or b"".join(map(self.b_bytes.__getitem__, b)) != want:
+            return None
+        at_a = dict(zip(accumulate(map(self.a_size.__getitem__, a)), range(1, len(a) + 1)))
+        at_b = dict(zip(accumulate(map(self.b_size.__getitem__, b)), range(1, len(b) + 1)))
+        common = sorted(at_a.keys() & at_b.keys())
+        cuts = (np.fromiter(map(at.__getitem__, common), np.int64, len(common)) for at in (at_a, at_b))
+        return np.array(a, np.int32), np.array(b, np.int32), np.array(common, np.int64), *cuts
+
+    def _learn(self, fresh: list) -> None:
+        """Aligns words. Those without white space at their ends are put into one text, which both tokenizers cut between them."""
+        runs = []
+        for w in fresh:
+            if runs and isinstance(w, str) and isinstance(runs[-1][-1], str) and len(runs[-1]) < RUN:
+                runs[-1].append(w)
+            else:
+                runs.append([w])
+        shapes, flats = [self.shape], [[old] for old in self.flat]
+        for run in self._aligned_runs(runs):
+            shapes.append(np.array(run[0], np.int64))
+            for kept, new in zip(flats, run[1:]):
+                kept.append(new)
+        self.shape = np.concatenate(shapes, axis=1)
+        self.flat = [np.concatenate(kept) for kept in flats]
+
+    def _aligned_runs(self, runs: list[list]):
+        """Of each run of words: their shapes, and the lists of `flat` for all of them."""
+        texts = [" ".join(run) if isinstance(run[0], str) else run[0][0] for run in runs]
+        ids_a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+        for run, text, a, b in zip(runs, texts, ids_a, self.b.encode(texts, num_threads=1)):
+            found = self.align(text, a.ids, b)
+            if found is None and len(run) > 1:
+                yield from self._aligned_runs([[w] for w in run])
                 continue
-            at_a = {end: i for i, end in enumerate(accumulate(map(self.a_size.__getitem__, a)), 1)}
-            at_b = {end: i for i, end in enumerate(accumulate(map(self.b_size.__getitem__, b)), 1)}
-            common = [0, *sorted(at_a.keys() & at_b.keys())]
-            at_a[0] = at_b[0] = 0
-            out.append((a, b, [at_a[y] - at_a[x] for x, y in pairwise(common)], [at_b[y] - at_b[x] for x, y in pairwise(common)], True))
-        return out
-
-    def _learn(self, fresh: list[str]) -> None:
-        found = self.align(fresh)
-        self.shape = np.concatenate([self.shape, np.array([[len(a), len(b), len(an), ok] for a, b, an, _, ok in found], np.int64).T], axis=1)
-        self.flat = [np.concatenate([old, np.fromiter(chain.from_iterable(f[k] for f in found), np.int32)]) for k, old in enumerate(self.flat)]
-
-    def _cut(self, text: str) -> list[str]:
-        """The words of a text, each without the space in front of it."""
-        words, loose = text.split(" "), self.loose
-        if len(loose) > WORDS:
-            loose.clear()
-        for w in words:
-            if w not in loose:
-                loose[w] = not w or w[0].isspace() or w[-1].isspace()
-            if loose[w]:
-                return [w[1:] for w in BORDER.split(" " + text)]
-        return words
+            if found is None:
+                yield [[0]] * 4, *(np.zeros(0, np.int32) for _ in range(4))
+                continue
+            a, b, common, cut_a, cut_b = found
+            border = np.cumsum([len(w.encode()) + 1 for w in run]) if len(run) > 1 else common[-1:]
+            at = np.searchsorted(common, border)
+            if (common[at] != border).any():
+                raise AssertionError("a token reaches across a border between words")
+            yield ([np.diff(cut_a[at], prepend=0), np.diff(cut_b[at], prepend=0), np.diff(at, prepend=-1), np.ones(len(at))],
+                   a, b, np.diff(cut_a, prepend=0).astype(np.int32), np.diff(cut_b, prepend=0).astype(np.int32))
+
+    def _numbers(self, text: str) -> list[int]:
+        """Numbers of a text's words; new ones are put down to be aligned. A word with white space at an end (or a whole text) goes by a
+        tuple, as there is no sure border beside it."""
+        words = self.words
+        if not self.by_words:
+            return [words.setdefault((text,), len(words))]
+        parts = text.split(" ")
+        fresh = set(parts).difference(words)
+        if any(not w or w[0].isspace() or w[-1].isspace() for w in fresh):
+            parts = [w[1:] for w in BORDER.split(" " + text)]
+            parts = [w if w and not w[0].isspace() and not w[-1].isspace() else (w,) for w in parts]
+            fresh = set(parts).difference(words)
+        for w in fresh:
+            words[w] = len(words)
+        return list(map(words.__getitem__, parts))
 
     def words_of(self, texts: list[str]) -> list[np.ndarray]:
         """Numbers of each text's words, all of them aligned; an empty text has none."""
         if len(self.words) > WORDS or len(self.flat[0]) > FLAT:
             self.forget()
-        words, known, parts = self.words, len(self.words), []
-        for text in texts:
-            found = (self._cut(text) if self.by_words else [text]) if text else []
-            parts.append(np.array([words.setdefault(w, len(words)) for w in found], np.int64))
-        if len(words) > known:
-            self._learn(list(islice(words, known, None)))
+        known = len(self.words)
+        parts = [np.array(self._numbers(text) if text else [], np.int64) for text in texts]
+        if len(self.words) > known:
+            self._learn(list(islice(self.words, known, None)))
         for k, p in enumerate(parts):
             if len(p) > 1 and not self.shape[3][p].all():   # only the whole text can tell
-                self._learn([texts[k]])
-                words[("whole", len(words))] = len(words)
-                parts[k] = np.array([len(words) - 1], np.int64)
+                n = len(self.words)
+                if self.words.setdefault((texts[k],), n) == n:
+                    self._learn([(texts[k],)])
+                parts[k] = np.array([self.words[(texts[k],)]], np.int64)
         return parts
 
     def lists(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
