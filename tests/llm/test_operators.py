@@ -111,6 +111,77 @@ def test_toxicity_learns_and_keeps_clean_texts(spark):
     assert none is None and toxicity.score(docs(spark, EDGE), none).count() == len(EDGE)
 
 
+def _brute_logs(texts, counts, d, e, k, size, stems):
+    """Log-probabilities of the words of texts: interpolated Kneser-Ney over exact words, pairs and stems of class k."""
+    pairs, c = counts[k], Counter()
+    for (v, w), n in pairs.items():
+        c[v] += n
+    cont, both = Counter(w for _, w in pairs), Counter(w for _, w in {**counts[0], **counts[1]})
+    occur, shared = Counter(), Counter()
+    for (v, w), n in pairs.items():
+        occur[stems(w)] += n
+    for w, n in both.items():
+        shared[stems(w)] += n
+    total = sum(occur.values())
+    free = sum(min(n, 0.75) for n in shared.values())
+
+    def p_shared(s):
+        return (max(shared[s] - 0.75, 0) + free / size) / sum(shared.values())
+
+    def p_stem(s):
+        return max(occur[s] - d, 0) / total + max(1 - sum(max(n - d, 0) for n in occur.values()) / total, 1e-6) * p_shared(s)
+
+    def p_word(w):
+        types = sum(cont.values())
+        return max(cont[w] - d, 0) / types + max(1 - sum(max(n - d, 0) for n in cont.values()) / types, 1e-6) * p_stem(stems(w))
+
+    def p(v, w):
+        taken = sum(min(n, e) for (a, _), n in pairs.items() if a == v)
+        return (max(pairs.get((v, w), 0) - e, 0) + taken * p_word(w)) / c[v] if c[v] else p_word(w)
+    return [math.log(p(v, w)) for t in texts for v, w in zip([None] + t[:-1], t)]
+
+
+def test_toxicity_is_kneser_ney(spark):
+    """Every level of the model against the formulas, for usual and large discounts."""
+    rng = random.Random(12)
+    rows = [(i, " ".join(rng.choice(["idiot", "idea", "ideal", "the", "them", "a", "scum", "Über"]) for _ in range(rng.randint(0, 9))), None, None) for i in range(60)]
+    pairs = [Counter(), Counter()]
+    for i, t, _, _ in rows:
+        w = t.lower().replace("Ü", "ü").split()
+        w = [x.replace("ü", "Ü") for x in w]    # only A-Z are lower-cased
+        pairs[i % 3 == 0].update(zip([None] + w[:-1], w))
+    table = spark.createDataFrame([(t, int(i % 3 == 0)) for i, t, _, _ in rows], "text string, toxic long")
+    counts = table.repartition(3).mapInArrow(toxicity._count_batches, "v int, w int, c0 long, c1 long").groupBy("v", "w").agg(
+        toxicity.F.sum("c0").alias("c0"), toxicity.F.sum("c1").alias("c1"))
+    model = toxicity.Model(counts)
+    model.prepared()
+    fresh = [["idiot", "scum", "new"], ["the", "idea", "the", "thesis"], ["Über", "a"]]
+    data = " ".join(w for t in fresh for w in t).encode()
+    at = np.cumsum([0] + [len(" ".join(t).encode()) + 1 for t in fresh])
+    at[-1] -= 1
+    t = toxicity.Tokens(np.frombuffer(data, np.uint8), at)
+    for i, (d, e) in enumerate(model.choices):
+        for k, got in enumerate(model.logs(t, i)):
+            want = _brute_logs(fresh, pairs, float(d[k]), float(e[k]), k, 1 << toxicity.WORD_BITS, lambda w: w.encode()[:4])
+            assert np.allclose(got, want, rtol=1e-4), (i, k)
+
+
+def test_toxicity_query_rounds_before_it_decides(spark):
+    model = type("M", (), {"curve": np.array([0.0, 1e-12, 0.0]), "choices": [0], "prepared": lambda s: None, "margins": lambda s, t, i: np.zeros(len(t.words.per)) - 1})()
+    found = toxicity.score(docs(spark, [(1, "a", None, None), (1, "b", None, None), (2, "", None, None)]), model).collect()
+    assert len(found) == 3 and all(r.score == 0.5 and r.predicted == 1 for r in found)
+
+
+def test_toxicity_with_one_class_and_empty_tables(spark):
+    rows = [(i, f"a b c{i % 5}", None, None) for i in range(40)]
+    for mark in (0, 1):
+        model = toxicity.fit(docs(spark, rows), spark.createDataFrame([(i, mark) for i in range(40)], "doc_id long, toxic int"))
+        assert {r.predicted for r in toxicity.score(docs(spark, rows + EDGE), model).collect()} == {mark}
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
+    assert toxicity.fit(docs(spark, []).limit(0), labels) is None
+    assert toxicity.keep(docs(spark, EDGE), None).count() == len(EDGE)
+
+
 def test_language(spark):
     rng = random.Random(3)
     parts = {"en": ["the", "with", "ing", "th"], "de": ["der", "sch", "ung", "ü"], "fr": ["eau", "les", "é", "que"]}
