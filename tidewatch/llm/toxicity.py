@@ -94,6 +94,13 @@ def _counted(keys, counts):
                                       names=["v", "w", "c0", "c1"])
 
 
+def _columns(found: DataFrame) -> dict[str, np.ndarray]:
+    """A table by cell in the driver, as Arrow: no object per row, and four bytes a number."""
+    kinds = {"cell": "int"}
+    table = found.select(*[F.col(c).cast(kinds.get(c, "float")) for c in found.columns]).toArrow()
+    return {c: table.column(c).to_numpy() for c in table.column_names}
+
+
 class Model:
     """Counts of both classes; index 0 ordinary, 1 toxic. Chain: pair, word, stem, stem by counts shared by the classes."""
 
@@ -105,16 +112,17 @@ class Model:
             F.count("*").alias("types"), *[F.count_if(F.col(f"c{k}") > 0).alias(f"n{k}") for k in (0, 1)]), "toxic-words")
         types = words.select(F.col("cell").alias("w"), "types")
         stems = counts.where("v < 0").join(types, "w").groupBy((-1 - F.col("v")).alias("cell")).agg(
-            F.sum("types").alias("types"), *[F.sum(f"c{k}").alias(f"n{k}") for k in (0, 1)]).toPandas()
-        words = words.toPandas()
-        pairs = two.groupBy(pair_cell_sql().alias("cell")).agg(*[F.sum(f"c{k}").alias(f"n{k}") for k in (0, 1)]).toPandas()
+            F.sum("types").alias("types"), *[F.sum(f"c{k}").alias(f"n{k}") for k in (0, 1)])
+        stems = _columns(stems)
+        words = _columns(words)
+        pairs = _columns(two.groupBy(pair_cell_sql().alias("cell")).agg(*[F.sum(f"c{k}").alias(f"n{k}") for k in (0, 1)]))
         self.word, self.stem = (self._table(t, size) for t in (words, stems))
         self.pair = self._table(pairs, 1 << PAIR_BITS)
         self.types = np.zeros(size)
         self.types[stems["cell"]] = stems["types"]
         self.choices = choices(np.maximum(self.stem.sum(axis=1), 1))
         taken = [F.sum(F.least(F.col(f"c{k}"), F.lit(float(d[k])))).alias(f"t{k}_{i}") for i, d in enumerate(self._pair_discounts()) for k in (0, 1)]
-        firsts = two.groupBy(F.col("v").alias("cell")).agg(*[F.sum(f"c{k}").alias(f"n{k}") for k in (0, 1)], *taken).toPandas()
+        firsts = _columns(two.groupBy(F.col("v").alias("cell")).agg(*[F.sum(f"c{k}").alias(f"n{k}") for k in (0, 1)], *taken))
         self.first = self._table(firsts, size + 1)
         self.taken = [self._table(firsts, size + 1, f"t{{}}_{i}") for i in range(len(self._pair_discounts()))]
         self.choice, self.curve = 0, np.zeros(3)
