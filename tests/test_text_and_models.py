@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators import models as MO
 from tidewatch.operators import text as TX
-from tidewatch.operators.folds import time_chunks
+from tidewatch.operators.folds import fold_train, time_chunks, training_folds, with_group_chunks
 from tidewatch.operators.metrics import ranking_metrics
+from tidewatch.operators.newton import newton_fits
 
 T0 = dt.datetime(2150, 1, 1)
 
@@ -81,7 +82,7 @@ def test_logistic_models_solve_the_stated_objective(spark, fused_rows):
     w = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
     ones = np.c_[X, np.ones(len(y))]
     model = MO.fusion_logistic(["a", "b"])(df).model
-    assert model.coefficients.toArray() == pytest.approx(newton(ones, y, w, 1.0), abs=1e-3)
+    assert model.coefficients == pytest.approx(newton(ones, y, w, 1.0), abs=1e-8) and model.gradient < 1e-6
     vectors = spark.createDataFrame([(Vectors.dense(r[:2]), r[2]) for r in rows], ["features", "label6h"])
     free = MO.weighted_logistic(vectors, "features", "label6h", 2.0, tol=1e-10)
     assert [*free.coefficients, free.intercept] == pytest.approx(newton(ones, y, w, 2.0, False), abs=1e-3)
@@ -112,6 +113,29 @@ def test_oof_is_time_ordered_disjoint_and_repeatable(spark, risk):
     assert ranking_metrics(a, "p_tab", "label6h").first().auroc > 0.7
 
 
+def test_all_folds_at_once_equal_one_fit_per_fold(spark, risk):
+    """Missing and infinite values count as zero; a fold's own fit has the same coefficients as the shared aggregate's."""
+    odd = risk.withColumn("x", F.expr("CASE WHEN i % 50 = 0 THEN double('inf') WHEN i % 50 = 1 THEN NULL ELSE x END"))
+    rows = with_group_chunks(time_chunks(odd, "t", "row_id"), "hadm_id").cache()
+    fits = newton_fits(rows, ["x", "gap"], "label6h", training_folds(5))
+    assert [f.fit for f in fits] == [1, 2, 3, 4]
+    for f in fits:
+        train = fold_train(rows, f.fit)
+        alone = MO.fusion_logistic(["x", "gap"])(train).model
+        assert f.rows == train.count() == alone.rows and f.gradient < 1e-6
+        assert f.coefficients == pytest.approx(alone.coefficients, abs=1e-7)
+    assert all(r.label6h is not None for r in rows.limit(1).collect())
+
+
+def test_newton_with_one_class_no_rows_and_a_hard_start(spark):
+    one = spark.createDataFrame([(0.5, 1), (1e4, 1), (-1e4, 1), (3.0, None)], "x double, y int")
+    fit = newton_fits(one, ["x"], "y", F.array(F.lit(7)))[0]
+    assert (fit.fit, fit.rows, fit.positives) == (7, 3, 3) and np.isfinite(fit.coefficients).all()
+    assert newton_fits(one.limit(0), ["x"], "y", F.array(F.lit(7))) == []
+    wide = spark.createDataFrame([(1e3 * (i % 5) - 2000.0, int(i % 5 > 2)) for i in range(50)], "x double, y int")
+    assert newton_fits(wide, ["x"], "y", F.array(F.lit(1)))[0].gradient < 1e-3
+
+
 def test_text_model_and_mlp_learn(spark, risk):
     scored = MO.fit_full_and_score(MO.text_logistic("text", buckets=1 << 10, max_iter=20), risk, risk)
     assert ranking_metrics(scored, "p_text", "label6h").first().auroc > 0.95

@@ -1,4 +1,5 @@
-"""Fitted models on labelled documents. No SQL states their result; each query is checked by properties in the tests."""
+"""Fitted models on labelled documents. SQL states what the fusion and the tree sums come to; the other queries are checked by
+properties in the tests."""
 
 from __future__ import annotations
 
@@ -7,9 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.keys import row_id
+from tidewatch.operators import metrics, newton
 from tidewatch.operators import models as MO
-from tidewatch.plans import catalog
-from tidewatch.plans.stacking import evaluate, level_one, stack
+from tidewatch.operators.folds import time_chunks, training_folds, with_group_chunks
+from tidewatch.plans import catalog, newton_oracle
+from tidewatch.plans.stacking import evaluate, fuse_inputs, level_one, stack
 from tidewatch.sources.storage import fresh_path, stage
 from tidewatch.sources.tables import load
 
@@ -82,6 +85,27 @@ def _fused(spark, d, fusion) -> DataFrame:
     return oof.select(*columns, F.lit("oof").alias("part")).unionByName(test.select(*columns, F.lit("test").alias("part")))
 
 
+def level_one_stand_ins(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Level-one tables whose predictions SQL can state: a share of length, and a share of a letter that one row in seven lacks."""
+    train = rows(spark, d).filter("split = 'train'")
+    text = train.filter("pmod(icustay_id, 7) <> 0 and text is not null").select(
+        "row_id", F.expr("regexp_count(text, 'e') / (length(text) + 1D)").alias("p_text"))
+    return train.select(*KEYS, F.expr("n_chars / (n_chars + 2000D)").alias("p_tab")), text
+
+
+@query("fusion_newton", newton_oracle.sql())
+def fusion_newton(spark, d):
+    """Fusion coefficients of every fold (fold 0: all rows), from one aggregate per Newton step over all of them."""
+    tab, text = level_one_stand_ins(spark, d)
+    tab = stage(tab, "stand-in")
+    prior = metrics.class_weights(tab, "label6h").first()["rate"]
+    fused = stage(time_chunks(fuse_inputs(tab, text, "p_text", prior), "t", "row_id"), "fused")
+    chunked = with_group_chunks(fused, "hadm_id")
+    fits = newton.newton_fits(chunked, ["p_tab", "p_text", "has_text"], "label6h", F.concat(F.array(F.lit(0)), training_folds(5)))
+    out = [(f.fit, f.rows, f.positives, *[round(float(b), 6) + 0.0 for b in f.coefficients], f.gradient < 1e-6) for f in fits]
+    return spark.createDataFrame(out, "fold_id int, n_train long, n_pos long, b_tab double, b_text double, b_flag double, b_one double, at_optimum boolean")
+
+
 @query("fusion_lr")
 def fusion_lr_query(spark, d):
     return _fused(spark, d, fusion_lr)
