@@ -8,6 +8,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tidewatch.operators import models as MO
+from tidewatch.operators import staged
 from tidewatch.operators import text as TX
 from tidewatch.operators.folds import fold_train, time_chunks, training_folds, with_group_chunks
 from tidewatch.operators.metrics import ranking_metrics
@@ -136,6 +137,37 @@ def test_newton_with_one_class_no_rows_and_a_hard_start(spark):
     assert newton_fits(wide, ["x"], "y", F.array(F.lit(1)))[0].gradient < 1e-3
 
 
+def test_trees_are_cut_at_the_best_average_precision(spark, risk):
+    train, validation = risk.filter("i % 3 > 0"), risk.filter("i % 3 = 0")
+    scorer = MO.gbt_stopped(["x", "gap"], ["sex"], train, validation, maxIter=8, maxDepth=3, patience=3)
+    whole = MO.gbt_scorer(scorer.model, ["x", "gap"], ["sex"])(validation).select("i", "p_tab").collect()
+    inputs = MO.PipelineModel(scorer.model.stages[:-1]).transform(MO._tree_inputs(validation, ["x", "gap"], ["sex"]))
+    parts = staged.tree_scores(scorer.model.stages[-1], inputs).cache()
+    all_trees = {r.i: r.p for r in parts.select("i", staged.probability_after("parts", 8).alias("p")).collect()}
+    assert all(all_trees[r.i] == pytest.approx(r.p_tab, abs=1e-12) for r in whole)
+    curve = {r.trees: r.average_precision for r in staged.prefix_average_precision(parts, "label6h").collect()}
+    for n in (1, 5, 8):
+        alone = parts.withColumn("p", staged.probability_after("parts", n))
+        assert curve[n] == pytest.approx(ranking_metrics(alone, "p", "label6h").first().average_precision, abs=1e-12)
+    assert curve[scorer.trees] == max(curve[n] for n in range(1, scorer.trees + 3) if n in curve)
+    got = {r.i: r.p_tab for r in scorer(validation).collect()}
+    want = {r.i: r.p for r in parts.select("i", staged.probability_after("parts", scorer.trees).alias("p")).collect()}
+    assert got == pytest.approx(want, abs=1e-12)
+
+
+@pytest.mark.parametrize("curve, patience, want", [([.1, .3, .2, .2, .2, .9], 3, 2), ([.1, .3, .2, .2, .2, .9], 5, 6), ([.2, .2, .2], 9, 1), ([.1, .2], 1, 2)])
+def test_patience(spark, curve, patience, want):
+    rows = spark.createDataFrame([(i, float(a)) for i, a in enumerate(curve, 1)], "trees int, average_precision double")
+    assert staged.best_prefix(rows, patience) == want
+
+
+def test_prefixes_of_nothing(spark):
+    none = spark.createDataFrame([(None, [0.1]), (1, None)], "y int, parts array<double>")
+    assert staged.prefix_average_precision(none, "y").count() == 0 and staged.best_prefix(staged.prefix_average_precision(none, "y")) == 0
+    negative = spark.createDataFrame([(0, [0.1, 0.2])], "y int, parts array<double>")
+    assert [r.average_precision for r in staged.prefix_average_precision(negative, "y").collect()] == [None, None]
+
+
 def test_text_model_and_mlp_learn(spark, risk):
     scored = MO.fit_full_and_score(MO.text_logistic("text", buckets=1 << 10, max_iter=20), risk, risk)
     assert ranking_metrics(scored, "p_text", "label6h").first().auroc > 0.95

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.keys import row_id
-from tidewatch.operators import metrics, newton
+from tidewatch.operators import metrics, newton, staged
 from tidewatch.operators import models as MO
 from tidewatch.operators.folds import time_chunks, training_folds, with_group_chunks
 from tidewatch.plans import catalog, newton_oracle
@@ -62,6 +62,29 @@ def gbt_oof(spark, d):
     return level_one(split(spark, d)[0], gbt(), "t", "row_id", "hadm_id").select(*KEYS, "p_tab", "fold_id")
 
 
+TREES = 40
+STAND_IN_TREES = f"transform(sequence(0, {TREES - 1}), t -> ((n_chars * (t + 1) + capitals) % 7 - 3) / 64D + if(lines % (t + 2) = 0, 0.125D, 0D))"
+
+
+@query("best_trees", f"""
+WITH docs AS (SELECT doc_id, toxic y, n_chars, length(text) - length(replace(text, chr(10), '')) AS n_lines, length(regexp_replace(text, '[^A-Z]', '', 'g')) AS capitals
+              FROM documents JOIN labels USING (doc_id)),
+parts AS (SELECT doc_id, y, t + 1 AS trees, ((n_chars * (t + 1) + capitals) % 7 - 3) / 64.0::DOUBLE + CASE WHEN n_lines % (t + 2) = 0 THEN 0.125::DOUBLE ELSE 0 END AS part
+          FROM docs, range({TREES}) r(t)),
+scores AS (SELECT trees, y, sum(part) OVER (PARTITION BY doc_id ORDER BY trees) AS score FROM parts),
+counts AS (SELECT trees, score, sum(y) AS pos, count(*) AS n FROM scores GROUP BY trees, score),
+ranked AS (SELECT trees, pos, sum(pos) OVER w AS tp, sum(n) OVER w AS upto FROM counts WINDOW w AS (PARTITION BY trees ORDER BY score DESC)),
+curve AS (SELECT trees, sum(pos * tp / upto) / sum(pos) AS ap FROM ranked GROUP BY trees),
+seen AS (SELECT *, coalesce(ap > max(ap) OVER (ORDER BY trees ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS better FROM curve),
+lasts AS (SELECT *, max(CASE WHEN better THEN trees END) OVER (ORDER BY trees) AS latest FROM seen),
+lived AS (SELECT *, bool_and(trees - latest < 12) OVER (ORDER BY trees) AS live FROM lasts)
+SELECT CAST(trees AS INTEGER) AS trees, round(ap, 9) AS average_precision, trees = (SELECT max(latest) FROM lived WHERE live) AS chosen FROM lived""")
+def best_trees(spark, d):
+    """Average precision after every number of trees, and the number kept with a patience of 12; what a tree adds is stated in SQL."""
+    docs = stage(rows(spark, d).withColumn("parts", F.expr(STAND_IN_TREES)).select("label6h", "parts"), "tree-scores")
+    return catalog.rounded(staged.with_choice(staged.prefix_average_precision(docs, "label6h"), 12))
+
+
 @query("text_lr_oof")
 def text_lr_oof(spark, d):
     return level_one(split(spark, d)[0], text_model(), "t", "row_id", "hadm_id").select(*KEYS, "p_text", "fold_id")
