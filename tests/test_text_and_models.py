@@ -168,6 +168,23 @@ def test_prefixes_of_nothing(spark):
     assert [r.average_precision for r in staged.prefix_average_precision(negative, "y").collect()] == [None, None]
 
 
+def test_leaf_values_are_penalised_newton_steps(spark):
+    rng = np.random.default_rng(5)
+    leaves, y, w = rng.integers(0, 4, (60, 5)), rng.integers(0, 2, 60), rng.random(60)
+    rows = [([int(v) for v in r], int(a), float(b)) for r, a, b in zip(leaves, y, w)] + [(None, 1, 1.0), ([0] * 5, None, 1.0)]
+    df = spark.createDataFrame(rows, "leaves array<int>, y int, w double")
+    got = staged.refit_leaves(df, "y", "leaves", "w", l2=3.0, rate=0.3, keep=2)
+    score = np.zeros(60)
+    for t in range(5):
+        v = np.zeros(4)
+        for _ in range(4):
+            p = 1 / (1 + np.exp(-(score + v[leaves[:, t]])))
+            v += np.bincount(leaves[:, t], w * (y - p), 4) / (np.bincount(leaves[:, t], w * p * (1 - p), 4) + 3.0)
+        assert [got[t][k] for k in range(4)] == pytest.approx(0.3 * v, abs=1e-12)
+        score += 0.3 * v[leaves[:, t]]
+    assert staged.refit_leaves(df.limit(0), "y", "leaves") == []
+
+
 def test_text_model_and_mlp_learn(spark, risk):
     scored = MO.fit_full_and_score(MO.text_logistic("text", buckets=1 << 10, max_iter=20), risk, risk)
     assert ranking_metrics(scored, "p_text", "label6h").first().auroc > 0.95

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewatch.sources.storage import stage
+
 RANGES = 256
 
 
@@ -78,3 +80,42 @@ def with_choice(curve: DataFrame, patience: int = 120) -> DataFrame:
 def best_prefix(curve: DataFrame, patience: int = 120) -> int:
     found = with_choice(curve, patience).where("chosen").first()
     return found["trees"] if found else 0
+
+
+# --- leaf values ------------------------------------------------------------------------------------------------------
+
+
+def refit_leaves(df: DataFrame, label: str, leaves: str, weight: str | None = None, l2: float = 3.0, rate: float = 0.05,
+                 iterations: int = 4, keep: int = 16) -> list[dict[int, float]]:
+    """New leaf values of given trees, one tree after the other, with a penalty on their squares.
+
+    `leaves` holds each row's leaf in every tree. A tree's values start at zero and take `iterations` Newton steps
+    sum(g) / (sum(h) + l2) at the scores that include them; scaled by `rate` they are added to the score of the rows. A step is one
+    aggregate by leaf, which combines map-side. Scores are written every `keep` trees, so plans stay short. Rows without a label, or
+    a leaf in some tree, stay out.
+    """
+    w = F.lit(1.0) if weight is None else F.col(weight).cast("double")
+    rows = stage(df.where(F.col(label).isNotNull() & F.col(leaves).isNotNull()).select(
+        F.col(label).cast("double").alias("y"), w.alias("w"), F.col(leaves).alias("leaves"), F.lit(0.0).alias("score")), "leaves")
+    first = rows.select(F.size("leaves").alias("n")).first()
+    out: list[dict[int, float]] = []
+    for tree in range(first["n"] if first else 0):
+        leaf, values = F.element_at("leaves", tree + 1), {}
+        for _ in range(iterations):
+            p = 1 / (1 + F.exp(-(F.col("score") + _value(values, leaf))))
+            found = rows.select(leaf.alias("leaf"), "y", "w", p.alias("p")).where("leaf is not null").groupBy("leaf").agg(
+                F.sum(F.expr("w * (y - p)")).alias("g"), F.sum(F.expr("w * p * (1 - p)")).alias("h")).collect()
+            values = {r["leaf"]: values.get(r["leaf"], 0.0) + r["g"] / (r["h"] + l2) for r in found}
+        out.append({k: rate * v for k, v in sorted(values.items())})
+        rows = rows.withColumn("score", F.col("score") + _value(out[-1], leaf))
+        if (tree + 1) % keep == 0:
+            rows = stage(rows, "leaves")
+    return out
+
+
+def _value(values: dict[int, float], leaf: Column) -> Column:
+    """The value of a leaf; a tree has at most as many as its depth allows."""
+    if not values:
+        return F.lit(0.0)
+    table = F.map_from_arrays(F.array(*[F.lit(int(k)) for k in values]), F.array(*[F.lit(float(v)) for v in values.values()]))
+    return F.coalesce(F.element_at(table, leaf), F.lit(0.0))

@@ -11,7 +11,7 @@ from tidewatch.functions.keys import row_id
 from tidewatch.operators import metrics, newton, staged
 from tidewatch.operators import models as MO
 from tidewatch.operators.folds import time_chunks, training_folds, with_group_chunks
-from tidewatch.plans import catalog, newton_oracle
+from tidewatch.plans import catalog, leaf_oracle, newton_oracle
 from tidewatch.plans.stacking import evaluate, fuse_inputs, level_one, stack
 from tidewatch.sources.storage import fresh_path, stage
 from tidewatch.sources.tables import load
@@ -85,6 +85,17 @@ def best_trees(spark, d):
     return catalog.rounded(staged.with_choice(staged.prefix_average_precision(docs, "label6h"), 12))
 
 
+LEAVES = "((n_chars * ({t} + 1) + capitals) % 8)"
+
+
+@query("leaf_values", leaf_oracle.sql(3, 4, 3.0, 0.05, LEAVES))
+def leaf_values(spark, d):
+    """Leaf values of three trees, whose leaves SQL can state, with penalty 3 and four steps; positives weigh the class ratio."""
+    docs = MO.weighted(rows(spark, d).withColumn("leaves", F.expr("array(" + ", ".join(f"int({LEAVES.format(t=t)})" for t in range(3)) + ")")), "label6h", "ratio")
+    values = staged.refit_leaves(docs, "label6h", "leaves", "_weight")
+    return catalog.rounded(spark.createDataFrame([(t, k, v) for t, tree in enumerate(values) for k, v in tree.items()], "tree int, leaf int, leaf_value double"))
+
+
 @query("text_lr_oof")
 def text_lr_oof(spark, d):
     return level_one(split(spark, d)[0], text_model(), "t", "row_id", "hadm_id").select(*KEYS, "p_text", "fold_id")
