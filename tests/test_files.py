@@ -1,7 +1,9 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
+from tidewatch.operators.frames import column_profile
 from tidewatch.sources import files, sinks
 from tidewatch.sources.storage import fresh_path, shared_dir
 
@@ -49,3 +51,23 @@ def test_summary_is_one_record(spark, tmp_path):
     path = str(tmp_path / "summary")
     sinks.write_summary(spark, path, {"best_threshold": 0.5, "rows": 3})
     assert [r.asDict() for r in spark.read.json(path).collect()] == [{"best_threshold": 0.5, "rows": 3}]
+
+
+def test_profile_of_all_columns(spark):
+    rows = [(i, None if i % 4 == 0 else float(i % 50), f"w{i % 30}", [i], float("nan") if i % 5 == 0 else -1.5) for i in range(1000)]
+    df = spark.createDataFrame(rows, "a.b long, x double, s string, l array<long>, f double".replace("a.b", "`a.b`")).repartition(6)
+    got = {r.column: r for r in column_profile(df).collect()}
+    assert list(got) == ["a.b", "x", "s", "l", "f"] and all(r.n_rows == 1000 for r in got.values())
+    assert (got["x"].n_null, got["x"].smallest, got["x"].largest) == (250, min(r[1] for r in rows if r[1] is not None), 49.0)
+    assert (got["f"].n_nan, got["f"].smallest, got["f"].largest, got["f"].approx_distinct) == (200, -1.5, -1.5, 1)
+    assert (got["s"].first_text, got["s"].last_text, got["s"].approx_distinct, got["s"].smallest) == ("w0", "w9", 30, None)
+    assert abs(got["a.b"].approx_distinct - 1000) < 80 and abs(got["a.b"].approx_median - 499.5) <= 2
+    assert got["l"].approx_distinct is None and got["l"].n_null == 0
+    none = column_profile(df.limit(0), ["x", "s"]).collect()
+    assert [(r.n_rows, r.smallest, r.first_text) for r in none] == [(0, None, None)] * 2
+
+
+def test_counts_are_taken_while_writing(spark, tmp_path):
+    df = spark.createDataFrame([(1, 1.0), (2, None)], "k long, v double")
+    table, seen = sinks.persist_observed(df, str(tmp_path / "t"), n=F.count(F.lit(1)), used=F.count("v"))
+    assert seen == {"n": 2, "used": 1} and table.count() == 2

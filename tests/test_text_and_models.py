@@ -188,7 +188,7 @@ def test_leaf_values_are_penalised_newton_steps(spark):
 def test_text_model_and_mlp_learn(spark, risk):
     scored = MO.fit_full_and_score(MO.text_logistic("text", buckets=1 << 10, max_iter=20), risk, risk)
     assert ranking_metrics(scored, "p_text", "label6h").first().auroc > 0.95
-    mlp = MO.fit_full_and_score(MO.fusion_mlp(["x", "gap"], max_iter=40), risk, risk)
+    mlp = MO.fit_full_and_score(MO.fusion_mlp(["x", "gap"], epochs=40, batch=64, rate=0.01), risk, risk)
     assert ranking_metrics(mlp, "p_fused", "label6h").first().auroc > 0.7
 
 

@@ -124,15 +124,5 @@ def coverage(df: DataFrame, p: str) -> DataFrame:
     return df.agg(F.count(p).alias("used"), F.count(F.lit(1)).alias("total"))
 
 
-def run_metadata(train: DataFrame, test: DataFrame, label: str, n_features: int) -> DataFrame:
-    """One row: row counts and positive rates of both frames, number of features."""
-    tagged = train.select(F.lit(True).alias("_train"), label).unionByName(test.select(F.lit(False).alias("_train"), label))
-    return tagged.agg(
-        F.count(F.when(F.col("_train"), 1)).alias("rows_train"), F.count(F.when(~F.col("_train"), 1)).alias("rows_test"),
-        F.avg(F.when(F.col("_train"), F.col(label))).alias("rate_train"),
-        F.avg(F.when(~F.col("_train"), F.col(label))).alias("rate_test"),
-        F.lit(int(n_features)).alias("n_features"))
-
-
 def count_by(df: DataFrame, *columns: str) -> DataFrame:
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).orderBy(*columns)

@@ -599,13 +599,20 @@ def coverage(spark, d):
     return M.coverage(scored_docs(spark, d).withColumn("p", F.when(F.col("lang") == "en", F.col("p"))), "p")
 
 
-@query("run_metadata", f"""
-WITH {DOCS} SELECT count(*) FILTER (WHERE lang = 'en') AS rows_train, count(*) FILTER (WHERE lang <> 'en') AS rows_test,
-  round(avg(y) FILTER (WHERE lang = 'en'), 9) AS rate_train, round(avg(y) FILTER (WHERE lang <> 'en'), 9) AS rate_test,
-  77 AS n_features FROM docs""")
+@query("run_metadata", """
+WITH rows AS (SELECT toxic AS y, lang = 'en' AS train FROM documents JOIN labels USING (doc_id) WHERE lang IS NOT NULL)
+SELECT count(*) FILTER (WHERE train) AS rows_train, count(*) FILTER (WHERE NOT train) AS rows_test, round(avg(y) FILTER (WHERE train), 9) AS rate_train,
+  round(avg(y) FILTER (WHERE NOT train), 9) AS rate_test, (SELECT 1 + count(*) FROM (DESCRIBE documents) WHERE column_name <> 'doc_id' AND column_type
+  IN ('TINYINT', 'SMALLINT', 'INTEGER', 'BIGINT', 'FLOAT', 'DOUBLE')) AS n_features FROM rows""")
 def run_metadata(spark, d):
-    docs = scored_docs(spark, d)
-    return rounded(M.run_metadata(docs.filter("lang = 'en'"), docs.filter("lang <> 'en'"), "y", 77))
+    """Counts and rates are taken while both tables are written; features are those that selection finds."""
+    docs = load(spark, d, "documents").join(load(spark, d, "labels").select("doc_id", F.col("toxic").alias("y")), "doc_id")
+    train, test = docs.filter("lang = 'en'"), docs.filter("lang <> 'en'")
+    meta = {"n_features": len(FR.select_features(train, test, ["doc_id", "y"], ["source"]))}
+    for name, part in (("train", train), ("test", test)):
+        _, seen = sinks.persist_observed(part, fresh_path(spark, name), rows=F.count(F.lit(1)), rate=F.avg("y"))
+        meta |= {f"{k}_{name}": v for k, v in seen.items()}
+    return rounded(spark.createDataFrame([meta], "rows_train long, rows_test long, rate_train double, rate_test double, n_features int"))
 
 
 RANKED = f"""WITH {DOCS}, c AS (SELECT p, sum(y) AS pos, sum(1 - y) AS neg FROM docs GROUP BY p),
@@ -803,10 +810,24 @@ def summary_json(spark, d):
     return rounded(spark.read.json(path))
 
 
-@query("feature_schema", """
-SELECT * FROM (VALUES ('l_quantity', 'double'), ('l_linenumber', 'int'), ('l_returnflag', 'string')) v("column", dtype)""")
+PROFILED = ["l_quantity", "l_linenumber", "l_returnflag", "l_linestatus", "l_discount", "l_orderkey"]
+SPARK_TYPES = "CASE typeof(any_value({c})) WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE lower(typeof(any_value({c}))) END"
+
+
+def _profile_sql(c: str) -> str:
+    kind = SPARK_TYPES.format(c=c)
+    return f"""SELECT '{c}' AS "column", {kind} AS dtype, count(*) AS n_rows, count(*) - count({c}) AS n_null, count(*) FILTER (WHERE
+  isnan(try_cast({c} AS DOUBLE))) AS n_nan, CASE WHEN {kind} <> 'string' THEN min(try_cast({c} AS DOUBLE)) END AS smallest, CASE WHEN {kind} <> 'string'
+  THEN max(try_cast({c} AS DOUBLE)) END AS largest, CASE WHEN {kind} = 'string' THEN min(CAST({c} AS VARCHAR)) END AS first_text,
+  CASE WHEN {kind} = 'string' THEN max(CAST({c} AS VARCHAR)) END AS last_text FROM lines"""
+
+
+@query("feature_schema", "WITH lines AS (SELECT * REPLACE (CASE WHEN l_orderkey % 7 <> 0 THEN l_quantity END AS l_quantity) FROM lineitem) "
+       + " UNION ALL ".join(map(_profile_sql, PROFILED)))
 def feature_schema(spark, d):
-    return FR.feature_schema(load(spark, d, "lineitem"), ["l_quantity", "l_linenumber", "l_returnflag"])
+    """The exact part of the profile of every row; sketches are tested against exact values."""
+    lines = load(spark, d, "lineitem").withColumn("l_quantity", F.when(F.col("l_orderkey") % 7 != 0, F.col("l_quantity")))
+    return rounded(FR.column_profile(lines, PROFILED).drop("approx_distinct", "approx_median"))
 
 
 from tidewatch.plans import model_queries  # noqa: E402,F401  registers the fitted models
