@@ -67,7 +67,7 @@ def test_profile_of_all_columns(spark):
     assert [(r.n_rows, r.smallest, r.first_text) for r in none] == [(0, None, None)] * 2
 
 
-def test_counts_are_taken_while_writing(spark, tmp_path):
+def test_counts_of_a_written_table(spark, tmp_path):
     df = spark.createDataFrame([(1, 1.0), (2, None)], "k long, v double")
-    table, seen = sinks.persist_observed(df, str(tmp_path / "t"), n=F.count(F.lit(1)), used=F.count("v"))
+    table, seen = sinks.persist_measured(df, str(tmp_path / "t"), n=F.count(F.lit(1)), used=F.count("v"))
     assert seen == {"n": 2, "used": 1} and table.count() == 2

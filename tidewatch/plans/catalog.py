@@ -605,12 +605,12 @@ SELECT count(*) FILTER (WHERE train) AS rows_train, count(*) FILTER (WHERE NOT t
   round(avg(y) FILTER (WHERE NOT train), 9) AS rate_test, (SELECT 1 + count(*) FROM (DESCRIBE documents) WHERE column_name <> 'doc_id' AND column_type
   IN ('TINYINT', 'SMALLINT', 'INTEGER', 'BIGINT', 'FLOAT', 'DOUBLE')) AS n_features FROM rows""")
 def run_metadata(spark, d):
-    """Counts and rates are taken while both tables are written; features are those that selection finds."""
+    """Counts and rates are taken from the tables as written; features are those that selection finds."""
     docs = load(spark, d, "documents").join(load(spark, d, "labels").select("doc_id", F.col("toxic").alias("y")), "doc_id")
     train, test = docs.filter("lang = 'en'"), docs.filter("lang <> 'en'")
     meta = {"n_features": len(FR.select_features(train, test, ["doc_id", "y"], ["source"]))}
     for name, part in (("train", train), ("test", test)):
-        _, seen = sinks.persist_observed(part, fresh_path(spark, name), rows=F.count(F.lit(1)), rate=F.avg("y"))
+        _, seen = sinks.persist_measured(part, fresh_path(spark, name), rows=F.count(F.lit(1)), rate=F.avg("y"))
         meta |= {f"{k}_{name}": v for k, v in seen.items()}
     return rounded(spark.createDataFrame([meta], "rows_train long, rows_test long, rate_train double, rate_test double, n_features int"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CSV = {"header": True, "nullValue": "NULL", "escape": '"', "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]"}
@@ -17,11 +17,14 @@ def persist(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def persist_observed(df: DataFrame, path: str, **aggregates: Column) -> tuple[DataFrame, dict]:
-    """Write the table and return a scan of it with aggregates of its rows, taken in the writing pass."""
-    seen = Observation()
-    written = persist(df.observe(seen, *[c.alias(name) for name, c in aggregates.items()]), path)
-    return written, seen.get
+def persist_measured(df: DataFrame, path: str, **aggregates: Column) -> tuple[DataFrame, dict]:
+    """Write the table and return a scan of it with aggregates of its rows.
+
+    They are read from the written columns that they name. Spark could observe them while it writes, but a session that has done so can
+    no longer apply fitted vector models: its observation manager is caught in their closures and cannot be sent to tasks.
+    """
+    written = persist(df, path)
+    return written, written.agg(*[c.alias(name) for name, c in aggregates.items()]).first().asDict()
 
 
 def write_csv(df: DataFrame, path: str) -> None:
