@@ -605,14 +605,15 @@ SELECT count(*) FILTER (WHERE train) AS rows_train, count(*) FILTER (WHERE NOT t
   round(avg(y) FILTER (WHERE NOT train), 9) AS rate_test, (SELECT 1 + count(*) FROM (DESCRIBE documents) WHERE column_name <> 'doc_id' AND column_type
   IN ('TINYINT', 'SMALLINT', 'INTEGER', 'BIGINT', 'FLOAT', 'DOUBLE')) AS n_features FROM rows""")
 def run_metadata(spark, d):
-    """Counts and rates are taken from the tables as written; features are those that selection finds."""
-    docs = load(spark, d, "documents").join(load(spark, d, "labels").select("doc_id", F.col("toxic").alias("y")), "doc_id")
-    train, test = docs.filter("lang = 'en'"), docs.filter("lang <> 'en'")
-    meta = {"n_features": len(FR.select_features(train, test, ["doc_id", "y"], ["source"]))}
-    for name, part in (("train", train), ("test", test)):
-        _, seen = sinks.persist_measured(part, fresh_path(spark, name), rows=F.count(F.lit(1)), rate=F.avg("y"))
-        meta |= {f"{k}_{name}": v for k, v in seen.items()}
-    return rounded(spark.createDataFrame([meta], "rows_train long, rows_test long, rate_train double, rate_test double, n_features int"))
+    """Counts and rates of both parts of the feature table as written, once; features are those that selection finds."""
+    docs = load(spark, d, "documents").drop("text").join(load(spark, d, "labels").select("doc_id", F.col("toxic").alias("y")), "doc_id")
+    table = docs.where("lang is not null").withColumn("train", F.expr("lang = 'en'"))
+    features = FR.select_features(table, table, ["doc_id", "y"], ["source"])
+    part = {"train": F.col("train"), "test": ~F.col("train")}
+    measures = {f"rows_{k}": F.count_if(c) for k, c in part.items()} | {f"rate_{k}": F.avg(F.when(c, F.col("y"))) for k, c in part.items()}
+    _, seen = sinks.persist_measured(table, fresh_path(spark, "features"), **measures)
+    names = "rows_train long, rows_test long, rate_train double, rate_test double, n_features int"
+    return rounded(spark.createDataFrame([seen | {"n_features": len(features)}], names))
 
 
 RANKED = f"""WITH {DOCS}, c AS (SELECT p, sum(y) AS pos, sum(1 - y) AS neg FROM docs GROUP BY p),
@@ -810,24 +811,24 @@ def summary_json(spark, d):
     return rounded(spark.read.json(path))
 
 
-PROFILED = ["l_quantity", "l_linenumber", "l_returnflag", "l_linestatus", "l_discount", "l_orderkey"]
+PROFILED = ["doc_id", "text", "lang", "source", "n_chars"]
 SPARK_TYPES = "CASE typeof(any_value({c})) WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE lower(typeof(any_value({c}))) END"
 
 
 def _profile_sql(c: str) -> str:
     kind = SPARK_TYPES.format(c=c)
     return f"""SELECT '{c}' AS "column", {kind} AS dtype, count(*) AS n_rows, count(*) - count({c}) AS n_null, count(*) FILTER (WHERE
-  isnan(try_cast({c} AS DOUBLE))) AS n_nan, CASE WHEN {kind} <> 'string' THEN min(try_cast({c} AS DOUBLE)) END AS smallest, CASE WHEN {kind} <> 'string'
+  typeof({c}) <> 'VARCHAR' AND isnan(try_cast({c} AS DOUBLE))) AS n_nan, CASE WHEN {kind} <> 'string' THEN min(try_cast({c} AS DOUBLE)) END AS smallest, CASE WHEN {kind} <> 'string'
   THEN max(try_cast({c} AS DOUBLE)) END AS largest, CASE WHEN {kind} = 'string' THEN min(CAST({c} AS VARCHAR)) END AS first_text,
-  CASE WHEN {kind} = 'string' THEN max(CAST({c} AS VARCHAR)) END AS last_text FROM lines"""
+  CASE WHEN {kind} = 'string' THEN max(CAST({c} AS VARCHAR)) END AS last_text FROM docs"""
 
 
-@query("feature_schema", "WITH lines AS (SELECT * REPLACE (CASE WHEN l_orderkey % 7 <> 0 THEN l_quantity END AS l_quantity) FROM lineitem) "
+@query("feature_schema", "WITH docs AS (SELECT * REPLACE (CASE WHEN doc_id % 7 <> 0 THEN n_chars END AS n_chars) FROM documents) "
        + " UNION ALL ".join(map(_profile_sql, PROFILED)))
 def feature_schema(spark, d):
     """The exact part of the profile of every row; sketches are tested against exact values."""
-    lines = load(spark, d, "lineitem").withColumn("l_quantity", F.when(F.col("l_orderkey") % 7 != 0, F.col("l_quantity")))
-    return rounded(FR.column_profile(lines, PROFILED).drop("approx_distinct", "approx_median"))
+    docs = load(spark, d, "documents").withColumn("n_chars", F.when(F.col("doc_id") % 7 != 0, F.col("n_chars")))
+    return rounded(FR.column_profile(docs, PROFILED).drop("approx_distinct", "approx_median"))
 
 
 from tidewatch.plans import model_queries  # noqa: E402,F401  registers the fitted models
