@@ -3,15 +3,16 @@ properties in the tests."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.keys import row_id
-from tidewatch.operators import categories, metrics, newton, staged
+from tidewatch.operators import categories, hashed_text, metrics, newton, staged
 from tidewatch.operators import models as MO
 from tidewatch.operators.folds import time_chunks, training_folds, with_group_chunks
-from tidewatch.plans import catalog, leaf_oracle, newton_oracle
+from tidewatch.plans import catalog, leaf_oracle, newton_oracle, text_oracle
 from tidewatch.plans.stacking import evaluate, fuse_inputs, level_one, stack
 from tidewatch.sources.storage import fresh_path, stage
 from tidewatch.sources.tables import load
@@ -43,7 +44,7 @@ def gbt() -> MO.Fit:
 
 
 def text_model() -> MO.Fit:
-    return MO.text_logistic("text", max_iter=15, buckets=1 << 16)
+    return MO.text_logistic("text")
 
 
 def fusion_lr(columns) -> MO.Fit:
@@ -116,6 +117,28 @@ def text_lr_oof(spark, d):
     return level_one(split(spark, d)[0], text_model(), "t", "row_id", "hadm_id").select(*KEYS, "p_text", "fold_id")
 
 
+@query("hashed_fit", text_oracle.START)
+def hashed_fit(spark, d):
+    """Text fits of every fold (fold 0: all rows) at 2^20 buckets: what they train on, their gradient at zero, and that they end at the
+    optimum (no component of the gradient above 1e-7 of the weights' sum)."""
+    chunked = with_group_chunks(time_chunks(split(spark, d)[0], "t", "row_id"), "hadm_id")
+    fits = hashed_text.text_fits(chunked, "text", "label6h", F.concat(F.array(F.lit(0)), training_folds(5)), buckets=text_oracle.BUCKETS)
+    out = [(f.fit, f.rows, f.positives, f.terms, float(np.sqrt(f.start[:-1] @ f.start[:-1])), float(np.abs(f.start[:-1]).max()), f.at_optimum)
+           for f in fits]
+    return spark.createDataFrame(out, "fold_id int, n_train long, n_pos long, n_buckets long, start_norm double, start_largest double, "
+                                      "at_optimum boolean").withColumns({c: F.round(c, 6) for c in ("start_norm", "start_largest")})
+
+
+@query("hashed_score", text_oracle.SCORE)
+def hashed_score(spark, d):
+    """Every whole text by a shipped model whose coefficients SQL can state; the document frequencies are those of all texts."""
+    docs = load(spark, d, "documents")
+    counts = hashed_text.text_counts(docs.withColumn("y", F.lit(0)), "text", "y", F.array(F.lit(0)), text_oracle.BUCKETS)
+    stated = np.append((np.arange(text_oracle.BUCKETS) * 37 % 101 - 50) / 25.0, 0.25)
+    model = hashed_text.stated_fit(hashed_text.inverse_frequencies(counts, text_oracle.BUCKETS), stated)
+    return catalog.rounded(hashed_text.score(docs.select("doc_id", "text"), "text", [model], "p_text").drop("text"))
+
+
 def level_one_tables(spark, d) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Out-of-fold and test predictions of both models; rows whose text is missing have none of the text model."""
     train, test = split(spark, d)
