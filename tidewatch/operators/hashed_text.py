@@ -2,7 +2,7 @@
 
 Spark splits a text and hashes its terms into buckets; Arrow batches count them, a batch at a time. No text is moved or split twice: the
 staged rows hold the bucket counts. Document frequencies and each step's loss and gradient are sums over (training set, bucket), combined
-in the tasks and added up by Spark, so no row or key is too frequent for a task. The driver keeps about 13 numbers per bucket and training
+in the tasks and added up by Spark, so no row or key is too frequent for a task. The driver keeps some 100 bytes per bucket and training
 set, which `buckets` bounds, and takes the steps (limited-memory quasi-Newton). Every step ships the coefficients once per executor.
 
 Weight of a term in a text: (1 + ln tf) * (ln((1 + n) / (1 + df)) + 1) with n and df of the training set, at unit length per text. The
@@ -193,7 +193,7 @@ class _Descent:
                 return
             s, y = x - self.x, penalised - self.gradient
             if s @ y > 1e-12 * np.sqrt((s @ s) * (y @ y)):
-                self.pairs = [*self.pairs, (s, y)][-HISTORY:]
+                self.pairs = [*self.pairs, (s.astype(np.float32), y.astype(np.float32))][-HISTORY:]
             self.steps += 1
         self.x, self.loss, self.gradient = x, loss, penalised
         self.length, self.way = 1.0, self._way()
@@ -202,13 +202,14 @@ class _Descent:
         q, shares = -self.gradient, []
         if not self.pairs:
             return q / max(1.0, np.sqrt(q @ q))
-        for s, y in reversed(self.pairs):
-            shares.append(s @ q / (s @ y))
-            q = q - shares[-1] * y
+        bends = [float(s @ y) for s, y in self.pairs]
+        for (s, y), bend in zip(reversed(self.pairs), reversed(bends)):
+            shares.append(s @ q / bend)
+            q -= shares[-1] * y
         s, y = self.pairs[-1]
-        q = q * (s @ y / (y @ y))
-        for (s, y), share in zip(self.pairs, reversed(shares)):
-            q = q + (share - y @ q / (s @ y)) * s
+        q *= bends[-1] / float(y @ y)
+        for (s, y), bend, share in zip(self.pairs, bends, reversed(shares)):
+            q += (share - y @ q / bend) * s
         return q
 
     @property
