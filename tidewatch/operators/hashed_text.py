@@ -14,11 +14,12 @@ intercept grows until the gradient is below the tolerance. Repeated rows count a
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.functions.clock import col
@@ -28,6 +29,8 @@ from tidewatch.sources.storage import stage
 BUCKETS = 1 << 20
 HISTORY = 4             # pairs of steps and gradient changes kept per training set
 SMALLEST_STEP = 1e-9
+PIECE = 1 << 20         # list elements that a task works on at a time
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 ROWS, POSITIVES, LOSS = -1, -2, -3   # slots beside the buckets
 
 
@@ -67,11 +70,25 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(column)), sizes), column.flatten().to_numpy(zero_copy_only=False)
 
 
+def _pieces(rows, column: pa.Array) -> Iterator:
+    """Consecutive slices of an array or batch, at most PIECE elements of the list column each unless one row has more."""
+    ends, first = np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)), 0
+    while first < len(column):
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + PIECE, "right")))
+        yield rows.slice(first, last - first)
+        first = last
+
+
 def _counted(column: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, bucket, 1 + ln tf) of the distinct buckets of each list."""
-    row, bucket = _lists(column)
-    cells, tf = np.unique(row * buckets + bucket, return_counts=True)
-    return cells // buckets, cells % buckets, 1.0 + np.log(tf)
+    found, first = [(np.zeros(0, int), np.zeros(0, int), np.zeros(0))], 0
+    for piece in _pieces(column, column):
+        row, bucket = _lists(piece)
+        cells, tf = np.unique(row * buckets + bucket, return_counts=True)
+        found.append((first + cells // buckets, cells % buckets, 1.0 + np.log(tf)))
+        first += len(piece)
+    return tuple(map(np.concatenate, zip(*found)))
 
 
 def log_counts(buckets: int = BUCKETS):
@@ -94,9 +111,21 @@ def _sparse(fit: int, dense: np.ndarray, extra: dict[int, float]) -> pa.RecordBa
         pa.array(np.concatenate([list(extra.values()), dense[slot]]).astype(float))], ["at", "slot", "value"])
 
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Each step's shuffle files go when its sums have arrived; otherwise those of all steps fill the disks until the driver collects garbage."""
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def _added(df: DataFrame, in_task) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """Sums of the (at, slot, value) rows of all tasks: the slots and values of each training set."""
-    table = df.mapInArrow(in_task, "at int, slot int, value double").groupBy("at", "slot").agg(F.sum("value").alias("value")).toArrow()
+    with _shuffles_removed(df.sparkSession):
+        table = df.mapInArrow(in_task, "at int, slot int, value double").groupBy("at", "slot").agg(F.sum("value").alias("value")).toArrow()
     at, slot, value = (table.column(c).to_numpy() for c in ("at", "slot", "value"))
     return {int(i): (slot[at == i], value[at == i]) for i in np.unique(at)}
 
@@ -111,7 +140,7 @@ def _training(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
 def _frequencies(buckets: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, rows, positives = {}, {}, {}
-        for batch in batches:
+        for batch in (p for whole in batches for p in _pieces(whole, whole.column("bucket"))):
             row, bucket = _lists(batch.column("bucket"))
             y = batch.column("y").to_numpy(zero_copy_only=False)
             for i, mine in _training(batch):
@@ -144,7 +173,7 @@ def _slopes(buckets: int, fixed, shipped):
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gradient, loss = {}, {}
         at = {i: _dense(fixed.value[i][0], x, buckets) for i, x in shipped.value.items()}
-        for batch in batches:
+        for batch in (p for whole in batches for p in _pieces(whole, whole.column("bucket"))):
             row, bucket = _lists(batch.column("bucket"))
             tf = _lists(batch.column("tf"))[1]
             y = batch.column("y").to_numpy(zero_copy_only=False)
