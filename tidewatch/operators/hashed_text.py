@@ -81,25 +81,25 @@ def _pieces(rows, column: pa.Array) -> Iterator:
 
 
 def _counted(column: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, bucket, 1 + ln tf) of the distinct buckets of each list."""
-    found, first = [(np.zeros(0, int), np.zeros(0, int), np.zeros(0))], 0
+    """(row, bucket, tf) of the distinct buckets of each list."""
+    found, first = [(np.zeros(0, int),) * 3], 0
     for piece in _pieces(column, column):
         row, bucket = _lists(piece)
         cells, tf = np.unique(row * buckets + bucket, return_counts=True)
-        found.append((first + cells // buckets, cells % buckets, 1.0 + np.log(tf)))
+        found.append((first + cells // buckets, cells % buckets, tf))
         first += len(piece)
     return tuple(map(np.concatenate, zip(*found)))
 
 
-def log_counts(buckets: int = BUCKETS):
-    """Arrow function from term buckets to the distinct buckets of a row and their 1 + ln tf."""
+def bucket_counts(buckets: int = BUCKETS):
+    """Arrow function from term buckets to the distinct buckets of a row and their counts."""
 
-    @F.arrow_udf("struct<bucket: array<int>, tf: array<double>>")
+    @F.arrow_udf("struct<bucket: array<int>, tf: array<int>>")
     def count(column: pa.Array) -> pa.Array:
         row, bucket, tf = _counted(column, buckets)
         ends = np.concatenate([[0], np.bincount(row, minlength=len(column)).cumsum()]).astype(np.int32)
         return pa.StructArray.from_arrays(
-            [pa.ListArray.from_arrays(ends, bucket.astype(np.int32)), pa.ListArray.from_arrays(ends, tf)], ["bucket", "tf"])
+            [pa.ListArray.from_arrays(ends, bucket.astype(np.int32)), pa.ListArray.from_arrays(ends, tf.astype(np.int32))], ["bucket", "tf"])
 
     return count
 
@@ -156,7 +156,7 @@ def _frequencies(buckets: int):
 
 def _margins(row, bucket, tf, n: int, idf: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Weights at unit length per row, and the rows' margins."""
-    x = tf * idf[bucket]
+    x = (1.0 + np.log(tf)) * idf[bucket]
     length = np.sqrt(np.bincount(row, x * x, n))
     x /= np.where(length == 0, 1.0, length)[row]
     return x, np.bincount(row, x * b[bucket], n) + b[-1]
@@ -251,10 +251,10 @@ class _Descent:
 
 
 def text_counts(df: DataFrame, text: str, label: str, fits: Column, buckets: int = BUCKETS) -> DataFrame:
-    """Staged (at, y, bucket, tf): the training sets of a row, its label, its distinct buckets and their 1 + ln tf."""
+    """Staged (at, y, bucket, tf): the training sets of a row, its label, its distinct buckets and their counts."""
     rows = df.where(F.col(label).isNotNull()).select(
         fits.cast("array<int>").alias("at"), F.col(label).cast("double").alias("y"), term_buckets(text, buckets).alias("_g"))
-    counted = rows.withColumn("_c", log_counts(buckets)("_g")).select("at", "y", "_c.bucket", "_c.tf")
+    counted = rows.withColumn("_c", bucket_counts(buckets)("_g")).select("at", "y", "_c.bucket", "_c.tf")
     return stage(counted, "text-counts")
 
 

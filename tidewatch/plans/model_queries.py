@@ -121,7 +121,8 @@ def text_lr_oof(spark, d):
 def hashed_fit(spark, d):
     """Text fits of every fold (fold 0: all rows) at 2^20 buckets: what they train on, their gradient at zero, and that they end at the
     optimum (no component of the gradient above 1e-7 of the weights' sum)."""
-    chunked = with_group_chunks(time_chunks(split(spark, d)[0], "t", "row_id"), "hadm_id")
+    train = rows(spark, d).filter("split = 'train'").select(*KEYS, "text")
+    chunked = with_group_chunks(time_chunks(train, "t", "row_id"), "hadm_id")
     fits = hashed_text.text_fits(chunked, "text", "label6h", F.concat(F.array(F.lit(0)), training_folds(5)), buckets=text_oracle.BUCKETS)
     out = [(f.fit, f.rows, f.positives, f.terms, float(np.sqrt(f.start[:-1] @ f.start[:-1])), float(np.abs(f.start[:-1]).max()), f.at_optimum)
            for f in fits]
