@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.clock import col
 from tidewatch.operators.text import tokens
-from tidewatch.sources.storage import stage
+from tidewatch.sources.storage import fresh_path
 
 BUCKETS = 1 << 20
 HISTORY = 4             # pairs of steps and gradient changes kept per training set
@@ -255,7 +255,9 @@ def text_counts(df: DataFrame, text: str, label: str, fits: Column, buckets: int
     rows = df.where(F.col(label).isNotNull()).select(
         fits.cast("array<int>").alias("at"), F.col(label).cast("double").alias("y"), term_buckets(text, buckets).alias("_g"))
     counted = rows.withColumn("_c", bucket_counts(buckets)("_g")).select("at", "y", "_c.bucket", "_c.tf")
-    return stage(counted, "text-counts")
+    path = fresh_path(df.sparkSession, "text-counts")
+    counted.write.option("parquet.writer.version", "v2").parquet(path)     # differences of the ordered buckets: half the size
+    return df.sparkSession.read.parquet(path)
 
 
 def inverse_frequencies(counts: DataFrame, buckets: int = BUCKETS) -> dict[int, tuple[int, int, int, np.ndarray]]:
