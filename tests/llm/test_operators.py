@@ -435,3 +435,24 @@ def test_words_are_those_of_the_pattern():
     w = bytetext.Words(buf, at)
     assert [bytes(buf[a:b]).decode() for a, b in zip(w.start, w.end)] == [x for t in texts for x in words(t)]
     assert w.per.tolist() == [len(words(t)) for t in texts]
+
+
+def test_forest_counts_every_labelled_row_and_cuts_at_the_exact_score(spark):
+    """One tree's counts hold all rows, far beyond what a tree tells apart; the threshold equals that of all scores in numpy."""
+    assert not hasattr(quality_forest, "LABEL_ROWS")
+    names = quality_forest.FEATURES
+    rows = spark.range(30_000).selectExpr(*[f"pmod(xxhash64(id, {i}), 1000) / 1000D {f}" for i, f in enumerate(names)])
+    points = rows.toPandas().to_numpy()
+    laid = quality_forest.lay(points.min(0), points.max(0), trees=2)
+    want = [quality_forest.weigh(t, np.bincount(quality_forest.leaves(t, points), minlength=len(t["cut"]))) for t in laid]
+    got = quality_forest.grow(rows, points.min(0), points.max(0), trees=2)
+    assert all(np.array_equal(a[k], b[k]) for a, b in zip(got, want) for k in ("feature", "path", "cut", "left"))
+
+    table = spark.range(25_000).selectExpr("pmod(xxhash64(id), 5000) / 10000D + if(id % 20 = 0, 0.3D, 0D) score", "id % 20 <> 0 good")
+    every = table.toPandas()
+    cuts = np.unique(every.score)
+    middle = np.append((cuts[1:] + cuts[:-1]) / 2, cuts[-1] + 1)
+    ok, bad = every.score[every.good].to_numpy(), every.score[~every.good].to_numpy()
+    gains = [(bad > c).mean() - 2 * (ok > c).mean() if (ok > c).mean() <= 0.01 else -1 for c in middle]
+    assert quality_forest.threshold(table) == pytest.approx(middle[int(np.argmax(gains))], abs=1e-12)
+    assert quality_forest.threshold(table.where("good")) == quality_forest.threshold(table.where("not good")) == 2.0
