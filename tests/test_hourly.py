@@ -172,3 +172,22 @@ def test_grid_times_off_the_hour_are_refused(spark):
     grid = grid_frame(spark, [(1, T0 + dt.timedelta(minutes=30))])
     with pytest.raises(Exception, match="full hours"):
         hourly_signals(grid, ["k"], {"e": ev}, [Total("s", "e", 1)]).collect()
+
+
+def test_elapsed_hours_sorts_no_grid(spark, tmp_path):
+    """Users, not their hours, are joined: no sort or join lies above the explode. Events without a user keep a grid without times."""
+    import datetime
+
+    import __spark_entry__ as entry
+    day = datetime.datetime(2024, 1, 1)
+    rows = [(i, day + datetime.timedelta(minutes=50 * i), u, k, 1.0) for i, (u, k) in enumerate(
+        [(1, "view"), (1, "purchase"), (None, "purchase"), (None, "view"), (2, "view"), (1, "click"), (2, "view")])]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double").write.parquet(f"{tmp_path}/events.parquet")
+    df = entry.queries()["elapsed_hours"](spark, str(tmp_path))
+    got = sorted(df.collect(), key=lambda r: (r.user_id or 0, r.t))
+    assert [r for r in got if r.user_id is None] and all(r.since_start is None and r.since_anchor is None for r in got if r.user_id is None)
+    ones = [r for r in got if r.user_id == 1]
+    assert [r.since_start for r in ones] == [0.0, 1.0, 2.0, 3.0, 4.0] and ones[0].since_anchor == pytest.approx(-5 / 6)
+    assert all(r.since_anchor is None for r in got if r.user_id == 2)
+    above = df._jdf.queryExecution().optimizedPlan().toString().split("Generate explode")[0]
+    assert "Join" not in above and "Sort" not in above

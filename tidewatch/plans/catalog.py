@@ -396,9 +396,10 @@ WITH {O.GRID}, {ANCHORS} SELECT g.user_id, g.t, round((epoch_us(t) - epoch_us(lo
 FROM grid g JOIN bounds USING (user_id) LEFT JOIN anchors ON anchors.user_id = g.user_id""")
 def elapsed_hours(spark, d):
     starts = C.range_by_group(load(spark, d, "events"), ["user_id"], "ts", "lo", "hi")
-    both = C.attach_optional(C.attach_optional(user_grid(spark, d), starts, "user_id"), anchors(spark, d), "user_id")
-    return rounded(both.select("user_id", "t", hours_since("t", "lo").alias("since_start"),
-                               hours_since("t", "q").alias("since_anchor")))
+    # times are attached to users, not to their hours, so that no join sorts the grid; rows without a user have no start to join
+    grid = hourly_grid(C.attach_optional(starts, anchors(spark, d), "user_id"), "lo", "hi")
+    since_start = F.when(F.col("user_id").isNotNull(), hours_since("t", "lo"))
+    return rounded(grid.select("user_id", "t", since_start.alias("since_start"), hours_since("t", "q").alias("since_anchor")))
 
 
 # --- windows ----------------------------------------------------------------------------------------------------------
