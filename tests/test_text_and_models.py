@@ -3,6 +3,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from tidewatch.operators import text as TX
 from tidewatch.operators.folds import fold_train, time_chunks, training_folds, with_group_chunks
 from tidewatch.operators.metrics import ranking_metrics
 from tidewatch.operators.newton import newton_fits
+from tidewatch.plans import catalog
 
 T0 = dt.datetime(2150, 1, 1)
 
@@ -199,3 +201,31 @@ def test_batch_scoring_loads_the_model_per_task(spark):
     df = spark.createDataFrame([(1, "abc"), (2, None)], "id long, text string")
     got = {r.id: r.p for r in TX.batch_text_score(df, "text", ["id"], make, "p").collect()}
     assert got == {1: 0.3, 2: 0.0}
+
+
+def test_block_tfidf_equals_term_tfidf(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    rows = [(i % 40 if i % 13 else None, " ".join(f"w{(i * k) % 17} é{k % 3}" for k in range(i % 9))) for i in range(120)]
+    rows += [(50, None), (51, ""), (52, "a b c"), (53, "Zoë zoe ZOE"), (53, "zoe x1")]
+    df = spark.createDataFrame(rows, "id int, text string")
+    try:
+        counts = TX.term_counts(df, "id", "text")
+        want = {(r.id, r.term): r.weight for r in TX.tfidf(counts, TX.fit_idf(counts, df.count()), "id").collect()}
+        got = TX.tfidf_texts(df, "id", "text")
+        assert got.dtypes == [("id", "int"), ("term", "string"), ("weight", "double")]
+        found = {(r.id, r.term): r.weight for r in got.collect()}
+        assert got.count() == len(found) and found == pytest.approx(want, abs=1e-12) and any(i is None for i, _ in found)
+        assert TX.tfidf_texts(df.filter("id > 50 and id < 53"), "id", "text").count() == 0
+        assert TX.tfidf_texts(df.limit(0), "id", "text").count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_tfidf_terms_do_not_travel_with_their_texts(spark, tmp_path):
+    """A block of a hundred equal texts sends each term once, and no join or window moves (document, term) rows."""
+    words = pa.table({"block": pa.array([0] * 100, pa.int32()), "doc_id": list(range(100)), "words": [["aa", "bb", "aa"]] * 100})
+    assert sorted(map(tuple, (r.values() for r in TX._block_terms(words).to_pylist()))) == [
+        (0, "aa", 100), (0, "aa bb", 100), (0, "bb", 100), (0, "bb aa", 100)]
+    spark.createDataFrame([(i, "aa bb aa") for i in range(100)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    plan = catalog.QUERIES["tfidf_exact"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 4 and "Join" not in plan and "Generate" not in plan  # texts (twice in the plan, reused), terms, shared terms

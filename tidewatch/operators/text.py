@@ -5,12 +5,16 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.clock import col
 
 SEPARATOR = " [SEP] "
+BLOCK_BYTES = 1 << 24  # text of one block of `tfidf_texts`
 TOKEN = r"[\p{L}\p{N}_]{2,}"  # runs of two or more word characters
 
 
@@ -103,6 +107,66 @@ def tfidf(counts: DataFrame, idf: DataFrame, key: str) -> DataFrame:
     return raw.select(key, "term", (F.col("_w") / norm).alias("weight"))
 
 
+def _counted(words: pa.Table) -> tuple[pa.ChunkedArray, pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Of rows (block, key, words) of a block: its keys, its terms, and per key and term the places of both and tf."""
+    keys = words[1].combine_chunks().dictionary_encode(null_encoding="encode")
+    lists = words[2].combine_chunks()
+    coded = lists.flatten().dictionary_encode()
+    word, n = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), len(coded.dictionary)
+    text = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+    key = keys.indices.to_numpy(zero_copy_only=False)[text]
+    first = np.flatnonzero(text[1:] == text[:-1])  # words with a next one in their text
+    codes, term = np.unique(np.concatenate([word, n + word[first] * n + word[first + 1]]), return_inverse=True)
+    single, pair = codes[codes < n], codes[codes >= n] - n
+    spelled = coded.dictionary
+    if len(codes):
+        pairs = pc.binary_join_element_wise(spelled.take(pa.array(pair // n)), spelled.take(pa.array(pair % n)), " ")
+        spelled = pa.concat_arrays([spelled.take(pa.array(single)), pairs])
+    owned, tf = np.unique(np.concatenate([key, key[first]]) * np.int64(len(codes)) + term, return_counts=True)
+    return keys.dictionary, spelled, owned // max(len(codes), 1), owned % max(len(codes), 1), tf
+
+
+def _block_terms(words: pa.Table) -> pa.Table:
+    """(block, term, n): how many keys of the block have the term."""
+    _, terms, _, term, _ = _counted(words)
+    n = np.bincount(term, minlength=len(terms))
+    return pa.table({"block": pa.repeat(words[0][0], len(terms)), "term": terms, "n": pa.array(n.astype(np.int32))})
+
+
+def _block_weights(words: pa.Table, shared: pa.Table, n_docs: int) -> pa.Table:
+    """(key, term, weight) of a block; `shared` has the df of its terms that other blocks have, too."""
+    keys, terms, key, term, tf = _counted(words)
+    df = np.bincount(term, minlength=len(terms))
+    df[pc.index_in(shared["term"], value_set=terms).to_numpy()] = shared["df"].to_numpy()
+    raw = (1.0 + np.log(tf)) * (np.log((1.0 + n_docs) / (1.0 + df)) + 1.0)[term]
+    norm = np.sqrt(np.bincount(key, raw * raw, len(keys)))
+    out = pa.table([keys.take(pa.array(key)), terms.take(pa.array(term)), pa.array(raw / norm[key])],
+                   [words.column_names[1], "term", "weight"])
+    return pa.Table.from_batches(out.to_batches(max_chunksize=1 << 16), out.schema)
+
+
+def tfidf_texts(df: DataFrame, key: str, text: str) -> DataFrame:
+    """`tfidf` of texts with the idf of the same texts, without moving the terms of every text.
+
+    Keys are dealt into blocks of about BLOCK_BYTES of text. A block sends each of its terms once, with the number of its keys
+    that have it; those that other blocks have come back with their df. Texts move once and stay. Texts of one key count as one.
+    """
+    n_docs, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BLOCK_BYTES))
+    block = F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias("block")
+    words = df.select(block, key, text).repartitionById(n, F.col("block")).select("block", key, tokens(text).alias("words"))
+    sent = words.groupBy("block").applyInArrow(_block_terms, "block int, term string, n int")
+    of_term = F.sum("n").over(Window.partitionBy("term"))
+    shared = sent.repartition(n, "term").withColumn("df", of_term).filter("df > n").select("block", "term", "df")
+
+    def weigh(mine: pa.Table, others: pa.Table) -> pa.Table:
+        return _block_weights(mine, others, n_docs)
+
+    kind = df.schema[key].dataType.simpleString()
+    return words.groupBy("block").cogroup(shared.repartitionById(n, F.col("block")).groupBy("block")).applyInArrow(
+        weigh, f"`{key}` {kind}, term string, weight double")
+
+
 def batch_text_score(df: DataFrame, text: str, keep: Sequence[str], make_predict: Callable[[], Callable],
                      name: str = "p_text", max_tokens: int | None = None) -> DataFrame:
     """Score texts with a caller-supplied model in Arrow batches.

@@ -727,9 +727,7 @@ r AS (SELECT doc_id, term, (1.0 + ln(tf)) * idf AS x FROM c JOIN i USING (term))
 n AS (SELECT doc_id, sqrt(sum(x * x)) AS norm FROM r GROUP BY doc_id)
 SELECT doc_id, term, round(x / norm, 9) AS weight FROM r JOIN n USING (doc_id)""")
 def tfidf_exact(spark, d):
-    docs = load(spark, d, "documents")
-    counts = TX.term_counts(docs, "doc_id", "text")
-    return rounded(TX.tfidf(counts, TX.fit_idf(counts, docs.count()), "doc_id"))
+    return rounded(TX.tfidf_texts(load(spark, d, "documents"), "doc_id", "text"))
 
 
 def _length_model() -> Callable:
