@@ -229,3 +229,12 @@ def test_tfidf_terms_do_not_travel_with_their_texts(spark, tmp_path):
     spark.createDataFrame([(i, "aa bb aa") for i in range(100)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     plan = catalog.QUERIES["tfidf_exact"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange ") == 4 and "Join" not in plan and "Generate" not in plan  # texts (twice in the plan, reused), terms, shared terms
+
+
+def test_trends_are_made_of_kept_hours_only(spark):
+    """Lags and rolling statistics stand above the window that finds the onset, and take no time apart inside their frames."""
+    plan = catalog.QUERIES["wide_features"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    windows = [line for line in plan if "Window [" in line]
+    first = {name: next(i for i, line in enumerate(windows) if f"AS {name}#" in line) for name in ("map_slope_6h", "map_lag1", "t_onset")}
+    assert first["map_slope_6h"] < first["t_onset"] and first["map_lag1"] < first["t_onset"]
+    assert "hour(" not in windows[first["map_slope_6h"]]

@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidewatch.functions.clock import epoch_seconds
 
 def grid_window(keys: Sequence[str], t: str) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy(t)
@@ -39,10 +38,11 @@ def rolling(w: WindowSpec, prefix: str, column: str, stats: Sequence[str], rows:
     return [ROLLERS[s](F.col(column)).over(frame).alias(f"{prefix}_{s}_{rows}h") for s in stats]
 
 
-def rolling_slope(w: WindowSpec, prefix: str, column: str, t: str, rows: int = 6) -> Column:
-    """Least-squares slope per second; NULL values are skipped, NULL below two points."""
+def rolling_slope(w: WindowSpec, prefix: str, column: str, seconds: str, rows: int = 6) -> Column:
+    """Least-squares slope per second; NULL values are skipped, NULL below two points. `seconds` is a column, as a time inside the
+    window function would be taken apart for every row of every frame."""
     frame = w.rowsBetween(1 - rows, Window.currentRow)
-    return F.regr_slope(F.col(column), epoch_seconds(t)).over(frame).alias(f"{prefix}_slope_{rows}h")
+    return F.regr_slope(F.col(column), F.col(seconds)).over(frame).alias(f"{prefix}_slope_{rows}h")
 
 
 def all_missing_flag(w: WindowSpec, prefix: str, column: str, rows: int = 6) -> Column:

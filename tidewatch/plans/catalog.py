@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.functions import bands as B
-from tidewatch.functions.clock import capped_age, hours_since, round_half_up, shift
+from tidewatch.functions.clock import capped_age, epoch_seconds, hours_since, round_half_up, shift
 from tidewatch.functions.keys import row_id
 from tidewatch.functions.keywords import LabelRule, label_kinds, matching_items
 from tidewatch.operators import cohort as C
@@ -438,7 +438,8 @@ def rolling_stats(spark, d):
 SELECT user_id, t, round(click_slope_6h, 9) + 0.0 AS click_slope_6h FROM s""")
 def rolling_slope(spark, d):
     w = R.grid_window(["user_id"], "_h")
-    return rounded(user_wide(spark, d).select("user_id", "t", R.rolling_slope(w, "click", "v_click", "t")))
+    timed = user_wide(spark, d).withColumn("_s", epoch_seconds("t"))
+    return rounded(timed.select("user_id", "t", R.rolling_slope(w, "click", "v_click", "_s")))
 
 
 # --- the feature job and its stages -----------------------------------------------------------------------------------

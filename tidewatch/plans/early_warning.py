@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions import bands as B
-from tidewatch.functions.clock import (between_offsets, capped_age, default_end, hours_since, round_half_up, shift)
+from tidewatch.functions.clock import (between_offsets, capped_age, default_end, epoch_seconds, hours_since,
+                                       round_half_up, shift)
 from tidewatch.functions.keywords import LabelRule, contains_any, label_kinds, matching_items
 from tidewatch.operators import rolling as R
 from tidewatch.operators.cohort import attach_context, first_per, restrict_events, restrict_intervals
@@ -227,19 +228,19 @@ def with_scores(df: DataFrame) -> DataFrame:
 def with_trends(df: DataFrame) -> DataFrame:
     """Lags, differences, rolling statistics, slopes and missing flags, all on one window."""
     w = R.grid_window(KEYS, "_h")
-    lagged = df.select("*", *R.lags(w, LAGGED))
+    lagged = df.select("*", epoch_seconds("t").alias("_s"), *R.lags(w, LAGGED))
     return lagged.select(
         "*", *R.diffs(LAGGED),
         *R.rolling(w, "map", "map_mmhg", ("mean", "std", "min", "max"), 6),
         *R.rolling(w, "map", "map_mmhg", ("mean", "min"), 12),
         *R.rolling(w, "hr", "hr", ("mean", "std"), 6), *R.rolling(w, "rr", "rr", ("mean", "std"), 6),
-        *[R.rolling_slope(w, p, LAGGED[p], "t") for p in ("map", "hr", "rr")],
+        *[R.rolling_slope(w, p, LAGGED[p], "_s") for p in ("map", "hr", "rr")],
         *[R.all_missing_flag(w, p, LAGGED[p]) for p in ("map", "hr", "rr")],
     )
 
 
 def scored_hours(tables: Mapping[str, DataFrame], ids: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Every grid hour of the cohort with signals, trends, scores, anchor and onset.
+    """Every grid hour of the cohort with signals, scores, anchor and onset.
 
     The cohort and the anchors are written once, as every feed joins them; their file size also tells Spark whether a
     broadcast is safe. Two exchanges carry the rest: events and grid by (entity, hour), then the cells by entity. The cohort attributes
@@ -258,7 +259,7 @@ def scored_hours(tables: Mapping[str, DataFrame], ids: DataFrame, settings: Sett
         stays.select(*KEYS, "dbsource", "intime", "admittime", "age_years")
         .join(sex, "subject_id").join(anchors, "hadm_id", "left")
     )
-    scored = with_scores(with_trends(clean)).join(context, list(KEYS))
+    scored = with_scores(clean).join(context, list(KEYS))
     hit = (F.col("sofa_total") >= settings.onset_score) & between_offsets("t", "tsusp", "tsusp", 48, 24)
     return scored.withColumn("t_onset", min_where("t", hit).over(Window.partitionBy(*KEYS)))
 
@@ -278,10 +279,10 @@ def labels(hours: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 def features(tables: Mapping[str, DataFrame], ids: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The wide feature table. Rows at or after the onset are dropped; they form the tail of a stay, so trends that
-    only look back are the same before and after. Sets joins and code generation of the session up first."""
+    only look back are the same before and after, and are made after. Sets joins and code generation of the session up first."""
     for table in tables.values():
         configure(table.sparkSession)
-    hours = labels(scored_hours(tables, ids, settings), settings)
+    hours = with_trends(labels(scored_hours(tables, ids, settings), settings))
     split = B.split_by_year("admittime", settings.last_train_year)
     derived = hours.withColumns({
         "pressor_on": B.flag_to_int("pressor"), "vent_flag": B.flag_to_int("vent"),
