@@ -5,6 +5,7 @@ import json
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -133,3 +134,23 @@ def test_an_unusable_vocabulary_is_refused(spark):
     other = json.loads(files[0]) | {"normalizer": {"type": "Lowercase"}}
     with pytest.raises(ValueError):
         token_align.Aligner(json.dumps(other).encode(), files[1])
+
+
+def test_texts_are_coded_once(spark, tmp_path):
+    """Rows are judged from staged lists, not from texts that are read and coded again."""
+    docs(spark, [(i, t, None, None) for i, t in enumerate(ODD)]).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op13_token_align(spark, str(tmp_path))
+    assert got.inputFiles() and not any(str(tmp_path) in f for f in got.inputFiles())
+
+
+@pytest.mark.parametrize("chunk", [4, 1 << 19])
+def test_packed_lists_are_the_lists(spark, monkeypatch, chunk):
+    files = token_align.load_files(spark, A, B)
+    own, texts = token_align.Aligner(*files), [None, *ODD, "", "a b"]
+    rows = pa.Table.from_pylist([r.asDict() for r in token_align.code(docs(spark, [(i, t, None, None) for i, t in enumerate(texts)]).coalesce(1), files).collect()],
+                                pa.schema([("doc_id", pa.int64()), *((c, pa.binary()) for c in token_align.PACKED)]))
+    monkeypatch.setattr(token_align.bt, "CHUNK", chunk)
+    found = []
+    for ids, lists in token_align._coded(rows.slice(1).to_batches()):
+        found += [[i.as_py(), *(v[e[k]:e[k + 1]].tolist() for v, e in lists)] for k, i in enumerate(ids)]
+    assert found == [[i, *(v.tolist() for v, _ in own.lists([t or ""]))] for i, t in enumerate(texts)][1:]

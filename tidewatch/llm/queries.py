@@ -92,7 +92,7 @@ def op12_prefix_trie(spark, sf_dir):
 def op13_token_align(spark, sf_dir):
     spark = text_session(spark)
     files = token_align.load_files(spark, f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
-    return token_align.digests(token_align.align(load(spark, sf_dir, "documents"), files))
+    return token_align.align(load(spark, sf_dir, "documents"), files, token_align.digest_batches, token_align.DIGESTS)
 
 
 QUERIES = {f.__name__: f for f in (op1_sliced_topk, op2_source_mix, op3_toxicity, op4_language, op5_ngram_join, op6_quality_forest, op7_token_edits, op8_backoff_lm, op9_sentencepiece, op10_html_main, op11_simhash_join, op12_prefix_trie, op13_token_align)}

@@ -12,7 +12,7 @@ text is coded at once.
 
 How often a pair of ids is linked is counted over the whole corpus. The bytes of one of a linked pair's tokens end with those of the
 other, so there are no more pairs than both vocabularies have suffixes: the counts are small enough to be sent to every task. Texts
-are read and coded again to be judged by them, which costs less than to keep their ids.
+are coded once: their ids and group sizes are staged as packed numbers, counted and judged from there.
 
 Defined cases: a null or empty text, and one whose tokens do not give back its bytes, has no tokens; very long texts are coded whole
 (a word without white space is one piece of work, however long); ties: every link whose count equals the highest of its B id is a
@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm import bytetext as bt
 from tidewatch.llm.sentencepiece_backend import BYTE, MARK, read_model
+from tidewatch.sources.storage import stage
 
 WORDS = 300_000          # aligned words that a task keeps
 RUN = 256               # new words that are coded as one text
@@ -226,23 +227,76 @@ class Counts:
         self.best = self.n == top[at]
 
 
-def _text_columns(docs: DataFrame) -> DataFrame:
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text")
+PACKED = ("a_ids", "a_ends", "b_ids", "b_ends")
 
 
-def link_counts(docs: DataFrame, files: tuple[bytes, bytes]) -> DataFrame:
-    """a, b, n: the links of every linked pair of ids over all rows of docs. Each task adds up its own first."""
+def _binary(values: np.ndarray, edge: np.ndarray) -> pa.Array:
+    """The bytes of the values between the borders, one row for each pair of them."""
+    return pa.Array.from_buffers(pa.binary(), len(edge) - 1, [None, pa.py_buffer((edge * values.itemsize).astype(np.int32)), pa.py_buffer(values)])
+
+
+def code(docs: DataFrame, files: tuple[bytes, bytes]) -> DataFrame:
+    """doc_id and, packed, the ids of A and of B and a byte for each that is 1 if its group ends there, for every row of docs."""
     shared = docs.sparkSession.sparkContext.broadcast(files)
 
+    def run(batches):
+        own = aligner(shared.value)
+        for ids, lists in _aligned(own, batches):
+            packed = []
+            for (values, edge), (sizes, _), table in zip(lists[:2], lists[2:], (own.a_bytes, own.b_bytes)):
+                ends = np.zeros(len(values), np.uint8)
+                ends[np.cumsum(sizes) - 1] = 1
+                packed += [_binary(values.astype(np.uint16 if len(table) <= 1 << 16 else np.uint32), edge), _binary(ends, edge)]
+            yield pa.RecordBatch.from_arrays([ids, *packed], names=["doc_id", *PACKED])
+
+    text = docs.selectExpr("cast(doc_id as long) doc_id", "text")
+    return text.mapInArrow(run, ", ".join(["doc_id long", *(f"{c} binary" for c in PACKED)]))
+
+
+def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all rows of a binary column, and the borders of each row's."""
+    _, at, data = column.buffers()
+    edge = np.frombuffer(at, np.int32, len(column) + 1, 4 * column.offset).astype(np.int64)
+    whole = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+    return whole[edge[0]:edge[-1]], edge - edge[0]
+
+
+def _coded(batches):
+    """(ids of documents, lists as of `Aligner.lists`) of runs of rows of `code`."""
+    _made.clear()   # all texts are coded: the words that a reused process kept are of no use
+    for batch in batches:
+        get = {c: _bytes(batch.column(batch.schema.get_field_index(c))) for c in PACKED}
+        ids = batch.column(batch.schema.get_field_index("doc_id"))
+        lo, tokens = 0, get["a_ends"][1]
+        while lo < len(ids):
+            hi = max(lo + 1, int(np.searchsorted(tokens, tokens[lo] + bt.CHUNK // 4, "right")) - 1)
+            lists, sizes = [], []
+            for c in "ab":
+                (ends, edge), (body, at) = get[f"{c}_ends"], get[f"{c}_ids"]
+                ends, body, edge = ends[edge[lo]:edge[hi]], body[at[lo]:at[hi]], edge[lo:hi + 1] - edge[lo]
+                kind = np.uint32 if len(body) == 4 * len(ends) else np.uint16
+                lists.append((body.view(kind).astype(np.int32), edge))
+                sizes.append((np.diff(np.flatnonzero(ends), prepend=-1).astype(np.int32), np.concatenate([[0], np.cumsum(ends, dtype=np.int64)])[edge]))
+            yield ids.slice(lo, hi - lo), lists + sizes
+            lo = hi
+
+
+def link_counts(docs: DataFrame, files: tuple[bytes, bytes]) -> DataFrame:
+    """a, b, n: the links of every linked pair of ids over all rows of docs."""
+    return coded_counts(code(docs, files))
+
+
+def coded_counts(coded: DataFrame) -> DataFrame:
+    """`link_counts` of rows of `code`. Each task adds up its own first."""
     def run(batches):
         pair, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for _, lists in _aligned(aligner(shared.value), batches):
+        for _, lists in _coded(batches):
             new, m = np.unique(_pairs(lists), return_counts=True)
             pair, at = np.unique(np.concatenate([pair, new]), return_inverse=True)
             n = np.bincount(at, np.concatenate([n, m]), len(pair)).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array((pair >> 32).astype(np.int32)), pa.array((pair & 0xFFFFFFFF).astype(np.int32)), pa.array(n)], names=["a", "b", "n"])
 
-    found = _text_columns(docs).mapInArrow(run, "a int, b int, n long")
+    found = coded.mapInArrow(run, "a int, b int, n long")
     return found.groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
@@ -252,14 +306,15 @@ def collect_counts(counts: DataFrame) -> Counts:
     return Counts((found["a"].to_numpy(np.int64) << 32) | found["b"].to_numpy(np.int64), found["n"].to_numpy(np.int64))
 
 
-def score(docs: DataFrame, files: tuple[bytes, bytes], counts: Counts) -> DataFrame:
+def score(coded: DataFrame, counts: Counts, derive=None, schema: str | None = None) -> DataFrame:
     """doc_id, a_ids, b_ids, a_sizes and b_sizes (tokens of each group), n_best (links that are the most frequent of their B id) and
-    count_sum (counts of all links) for every row of docs."""
-    shared = docs.sparkSession.sparkContext.broadcast((files, counts))
+    count_sum (counts of all links) for every row of `code`. `derive` turns an iterator of these batches into one of `schema`, in the
+    same task, for callers that do not need the lists themselves."""
+    shared = coded.sparkSession.sparkContext.broadcast(counts)
 
-    def run(batches):
-        files, counts = shared.value
-        for ids, lists in _aligned(aligner(files), batches):
+    def found(batches):
+        counts = shared.value
+        for ids, lists in _coded(batches):
             at = np.searchsorted(counts.pair, _pairs(lists))
             border = lists[2][1]
             arrays = [pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(values)) for values, edge in lists]
@@ -267,12 +322,15 @@ def score(docs: DataFrame, files: tuple[bytes, bytes], counts: Counts) -> DataFr
                 [ids, *arrays, pa.array(bt.doc_sums(counts.best[at].astype(np.int64), border)), pa.array(bt.doc_sums(counts.n[at], border))],
                 names=["doc_id", "a_ids", "b_ids", "a_sizes", "b_sizes", "n_best", "count_sum"])
 
-    return _text_columns(docs).mapInArrow(run, "doc_id long, a_ids array<int>, b_ids array<int>, a_sizes array<int>, b_sizes array<int>, n_best long, count_sum long")
+    if derive:
+        return coded.mapInArrow(lambda batches: derive(found(batches)), schema)
+    return coded.mapInArrow(found, "doc_id long, a_ids array<int>, b_ids array<int>, a_sizes array<int>, b_sizes array<int>, n_best long, count_sum long")
 
 
-def align(docs: DataFrame, files: tuple[bytes, bytes]) -> DataFrame:
-    """`score` with the counts of all rows of docs."""
-    return score(docs, files, collect_counts(link_counts(docs, files)))
+def align(docs: DataFrame, files: tuple[bytes, bytes], derive=None, schema: str | None = None) -> DataFrame:
+    """`score` with the counts of all rows of docs, whose lists are staged between."""
+    coded = stage(code(docs, files), "token-lists")
+    return score(coded, collect_counts(coded_counts(coded)), derive, schema)
 
 
 def _names(most: int, last: str) -> np.ndarray:
@@ -280,28 +338,33 @@ def _names(most: int, last: str) -> np.ndarray:
     return np.array([f"{i}{end}" for i in range(most + 1) for end in (",", last)], object)
 
 
+DIGESTS = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
+
+
+def digest_batches(batches):
+    """Batches of DIGESTS from batches of `score`."""
+    names = [_names(0, "|"), _names(0, ";")]
+    for batch in batches:
+        get = {c: batch.column(batch.schema.get_field_index(c)) for c in batch.schema.names}
+        values = {c: get[c].flatten().to_numpy(zero_copy_only=False) for c in ("a_ids", "b_ids", "a_sizes", "b_sizes")}
+        size = {c: np.diff(get[c].offsets.to_numpy()) for c in values}
+        an, bn = (values[c].astype(np.int64) for c in ("a_sizes", "b_sizes"))
+        out = np.empty(int(an.sum() + bn.sum()), object)
+        for k, (c, n, shift) in enumerate((("a_ids", an, np.cumsum(bn) - bn), ("b_ids", bn, np.cumsum(an)))):
+            ids = values[c].astype(np.int64)
+            if len(ids) and 2 * ids.max() >= len(names[k]):
+                names[k] = _names(2 * int(ids.max()), "|;"[k])
+            last = np.zeros(len(ids), np.int64)
+            last[np.cumsum(n) - 1] = 1
+            out[np.arange(len(ids)) + np.repeat(shift, n)] = names[k][2 * ids + last]
+        edge = np.concatenate([[0], np.cumsum(size["a_ids"] + size["b_ids"])])
+        sha = [hashlib.sha256("".join(out[x:y].tolist())[:-1].encode()).hexdigest() if y > x else "" for x, y in zip(edge[:-1].tolist(), edge[1:].tolist())]
+        groups = pa.array(size["a_sizes"].astype(np.int64))
+        yield pa.RecordBatch.from_arrays(
+            [get["doc_id"], pa.array(size["a_ids"].astype(np.int64)), pa.array(size["b_ids"].astype(np.int64)), groups, groups, get["n_best"], get["count_sum"], pa.array(sha, pa.string())],
+            names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
+
+
 def digests(scored: DataFrame) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum and groups_sha256 of rows of `score`."""
-    def run(batches):
-        names = [_names(0, "|"), _names(0, ";")]
-        for batch in batches:
-            get = {c: batch.column(batch.schema.get_field_index(c)) for c in batch.schema.names}
-            values = {c: get[c].flatten().to_numpy(zero_copy_only=False) for c in ("a_ids", "b_ids", "a_sizes", "b_sizes")}
-            size = {c: np.diff(get[c].offsets.to_numpy()) for c in values}
-            an, bn = (values[c].astype(np.int64) for c in ("a_sizes", "b_sizes"))
-            out = np.empty(int(an.sum() + bn.sum()), object)
-            for k, (c, n, shift) in enumerate((("a_ids", an, np.cumsum(bn) - bn), ("b_ids", bn, np.cumsum(an)))):
-                ids = values[c].astype(np.int64)
-                if len(ids) and 2 * ids.max() >= len(names[k]):
-                    names[k] = _names(2 * int(ids.max()), "|;"[k])
-                last = np.zeros(len(ids), np.int64)
-                last[np.cumsum(n) - 1] = 1
-                out[np.arange(len(ids)) + np.repeat(shift, n)] = names[k][2 * ids + last]
-            edge = np.concatenate([[0], np.cumsum(size["a_ids"] + size["b_ids"])])
-            sha = [hashlib.sha256("".join(out[x:y].tolist())[:-1].encode()).hexdigest() if y > x else "" for x, y in zip(edge[:-1].tolist(), edge[1:].tolist())]
-            groups = pa.array(size["a_sizes"].astype(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [get["doc_id"], pa.array(size["a_ids"].astype(np.int64)), pa.array(size["b_ids"].astype(np.int64)), groups, groups, get["n_best"], get["count_sum"], pa.array(sha, pa.string())],
-                names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
-
-    return scored.mapInArrow(run, "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
+    return scored.mapInArrow(digest_batches, DIGESTS)
