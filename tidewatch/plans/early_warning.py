@@ -239,12 +239,13 @@ def with_trends(df: DataFrame) -> DataFrame:
     )
 
 
-def scored_hours(tables: Mapping[str, DataFrame], ids: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Every grid hour of the cohort with signals, scores, anchor and onset.
+def onset_hours(tables: Mapping[str, DataFrame], ids: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, DataFrame]:
+    """Every grid hour of the cohort with signals, scores, anchor and onset, and the cohort attributes to be joined to it.
 
     The cohort and the anchors are written once, as every feed joins them; their file size also tells Spark whether a
-    broadcast is safe. Two exchanges carry the rest: events and grid by (entity, hour), then the cells by entity. The cohort attributes
-    join on the same keys, and the onset is a minimum over the same partitions, so nothing is computed twice.
+    broadcast is safe. Two exchanges carry the rest: events and grid by (entity, hour), then the cells by entity. The anchors (one
+    per entity, so that no hour comes twice) and the cohort attributes join on the same keys, and the onset is a minimum over the
+    same partitions, so nothing is computed twice.
     """
     stays = stage(cohort(tables, settings.min_age), "cohort")
     grid = hourly_grid(stays.select(*KEYS, "intime", "outtime"), "intime", "outtime")
@@ -254,14 +255,18 @@ def scored_hours(tables: Mapping[str, DataFrame], ids: DataFrame, settings: Sett
         "map_mmhg": F.col("vital_map"), "hr": F.col("vital_hr"), "rr": F.col("vital_rr"),
         "spo2_pct": B.range_clean("vital_spo2", 50, 100), "fio2_pct": B.unit_normalise("vital_fio2"),
     }).withColumn("sfratio", B.clean_ratio("spo2_pct", "fio2_pct"))
-    sex = tables["patients"].select("subject_id", F.col("gender").alias("sex"))
-    context = (
-        stays.select(*KEYS, "dbsource", "intime", "admittime", "age_years")
-        .join(sex, "subject_id").join(anchors, "hadm_id", "left")
-    )
-    scored = with_scores(clean).join(context, list(KEYS))
+    suspected = stays.select(*KEYS).distinct().join(anchors, "hadm_id", "left")
+    scored = with_scores(clean).join(suspected, list(KEYS))
     hit = (F.col("sofa_total") >= settings.onset_score) & between_offsets("t", "tsusp", "tsusp", 48, 24)
-    return scored.withColumn("t_onset", min_where("t", hit).over(Window.partitionBy(*KEYS)))
+    sex = tables["patients"].select("subject_id", F.col("gender").alias("sex"))
+    context = stays.select(*KEYS, "dbsource", "intime", "admittime", "age_years").join(sex, "subject_id")
+    return scored.withColumn("t_onset", min_where("t", hit).over(Window.partitionBy(*KEYS))), context
+
+
+def scored_hours(tables: Mapping[str, DataFrame], ids: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """`onset_hours` with the cohort attributes."""
+    hours, context = onset_hours(tables, ids, settings)
+    return hours.join(context, list(KEYS))
 
 
 def sofa_hourly(hours: DataFrame) -> DataFrame:
@@ -279,10 +284,12 @@ def labels(hours: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 def features(tables: Mapping[str, DataFrame], ids: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The wide feature table. Rows at or after the onset are dropped; they form the tail of a stay, so trends that
-    only look back are the same before and after, and are made after. Sets joins and code generation of the session up first."""
+    only look back are the same before and after, and are made after, and before
+    the attributes join, of which an entity may have several. Sets joins and code generation of the session up first."""
     for table in tables.values():
         configure(table.sparkSession)
-    hours = with_trends(labels(scored_hours(tables, ids, settings), settings))
+    kept, context = onset_hours(tables, ids, settings)
+    hours = with_trends(labels(kept, settings)).join(context, list(KEYS))
     split = B.split_by_year("admittime", settings.last_train_year)
     derived = hours.withColumns({
         "pressor_on": B.flag_to_int("pressor"), "vent_flag": B.flag_to_int("vent"),
