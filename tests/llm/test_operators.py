@@ -4,9 +4,12 @@ import math
 import random
 import re
 import sys
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from tidewatch.llm import (backoff_lm, bytetext, html_main, langid, mixing, ngram_join, quality_forest, sentencepiece_backend,
@@ -166,6 +169,52 @@ def test_toxicity_is_kneser_ney(spark):
             assert np.allclose(got, want, rtol=1e-4), (i, k)
 
 
+def _peak_mb(work):
+    tracemalloc.start()
+    try:
+        out = work()
+        return out, tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_toxicity_counts_leave_a_task_in_small_batches():
+    """A task's texts hold more pairs than it may keep: parts of them are handed on, and their sums are whole."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(map(str, rng.integers(0, 1 << 40, 30_000))) for _ in range(12)] + ["a b a b", None, ""]
+    marks = [i % 3 == 0 for i in range(len(texts))]
+    batches = [pa.RecordBatch.from_pydict({"text": [t], "toxic": pa.array([int(m)])}) for t, m in zip(texts, marks)]
+    sums = np.zeros(2, np.int64)
+
+    def run():
+        found, most = Counter(), 0
+        for b in toxicity._count_batches(iter(batches)):
+            most = max(most, b.num_rows)
+            sums[:] += [b.column(2).to_numpy().sum(), b.column(3).to_numpy().sum()]
+            small = b.filter(pc.greater(pc.add(b.column(2), b.column(3)), 1))
+            found.update(dict.fromkeys(zip(small.column(0).to_pylist(), small.column(1).to_pylist()), 1))
+        return found, most
+    (found, most), peak = _peak_mb(run)
+    assert most <= 1 << 16 and peak < 70, (most, peak)
+    words = [len((t or "").split()) for t in texts]
+    assert list(sums) == [2 * sum(n for n, m in zip(words, marks) if m == k) for k in (False, True)]
+    t = toxicity.Tokens(np.frombuffer(b"a b", np.uint8), np.array([0, 3]))
+    assert (int(t.before[1]), int(t.word[1])) in found      # "a b" stands twice
+
+
+def test_toxicity_choices_share_their_tables():
+    """Trying all choices of discounts takes no tables of its own for each."""
+    rng, size = np.random.default_rng(6), 1 << toxicity.WORD_BITS
+    model = toxicity.Model.__new__(toxicity.Model)
+    model.word, model.stem, model.first, model.pair = (rng.integers(0, 50, (2, n)).astype(np.float32) for n in (size, size, size + 1, 1 << toxicity.PAIR_BITS))
+    model.types = model.shared = np.full(size, 1 / size)
+    model.choices, model.levels = toxicity.choices(np.array([3000, 1000])), []
+    model.taken = [model.first] * len(model._pair_discounts())
+    batch = pa.RecordBatch.from_pydict({"text": ["some words of a text", None, "more of them"], "toxic": [0, 1, 0]})
+    (out,), peak = _peak_mb(lambda: list(toxicity._margin_batches(model, ["toxic"])(iter([batch]))))
+    assert out.num_rows == 3 and out.num_columns == len(model.choices) + 2 and peak < 45, peak
+
+
 def test_toxicity_query_rounds_before_it_decides(spark):
     model = type("M", (), {"curve": np.array([0.0, 1e-12, 0.0]), "choices": [0], "prepared": lambda s: None, "margins": lambda s, t, i: np.zeros(len(t.words.per)) - 1})()
     found = toxicity.score(docs(spark, [(1, "a", None, None), (1, "b", None, None), (2, "", None, None)]), model).collect()

@@ -38,7 +38,8 @@ USUAL = 0.75           # the Kneser-Ney discount
 WORD_DISCOUNTS = (USUAL, 2.0, 6.0, 18.0, 36.0, 54.0)
 PAIR_FACTOR = 32.0     # the large discount of a pair, in discounts of a word: pairs are rarer and chance shows more
 DEAD_BAND = 1.0        # nats
-KEYS = 2_000_000       # pairs and stems that a task adds up before it hands them on
+KEYS = 300_000         # pairs and stems that a task adds up before it hands them on; Spark adds up what several such parts share
+HANDED = 1 << 16       # rows of an Arrow batch of them
 
 
 def choices(totals) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -83,15 +84,16 @@ def _count_batches(batches):
             old, new = where[:counts.shape[1]], where[counts.shape[1]:]
             counts = np.stack([np.bincount(old, counts[k], len(keys)) + np.bincount(new, np.tile(kind == k, 2), len(keys)) for k in (0, 1)]).astype(np.int64)
             if len(keys) > KEYS:
-                yield _counted(keys, counts)
+                yield from _counted(keys, counts)
                 keys, counts = np.zeros(0, np.int64), np.zeros((2, 0), np.int64)
-    if len(keys):
-        yield _counted(keys, counts)
+    yield from _counted(keys, counts)
 
 
 def _counted(keys, counts):
-    return pa.RecordBatch.from_arrays([pa.array((keys >> 32).astype(np.int32)), pa.array((keys & 0xFFFFFFFF).astype(np.int32)), *map(pa.array, counts)],
-                                      names=["v", "w", "c0", "c1"])
+    for lo in range(0, len(keys), HANDED):
+        k = keys[lo:lo + HANDED]
+        yield pa.RecordBatch.from_arrays([pa.array((k >> 32).astype(np.int32)), pa.array((k & 0xFFFFFFFF).astype(np.int32)), *(pa.array(c[lo:lo + HANDED]) for c in counts)],
+                                         names=["v", "w", "c0", "c1"])
 
 
 def _columns(found: DataFrame) -> dict[str, np.ndarray]:
@@ -118,14 +120,15 @@ class Model:
         pairs = _columns(two.groupBy(pair_cell_sql().alias("cell")).agg(*[F.sum(f"c{k}").alias(f"n{k}") for k in (0, 1)]))
         self.word, self.stem = (self._table(t, size) for t in (words, stems))
         self.pair = self._table(pairs, 1 << PAIR_BITS)
-        self.types = np.zeros(size)
-        self.types[stems["cell"]] = stems["types"]
+        types = np.zeros(size)
+        types[stems["cell"]] = stems["types"]
+        self.shared = self._shared(types)
         self.choices = choices(np.maximum(self.stem.sum(axis=1), 1))
         taken = [F.sum(F.least(F.col(f"c{k}"), F.lit(float(d[k])))).alias(f"t{k}_{i}") for i, d in enumerate(self._pair_discounts()) for k in (0, 1)]
         firsts = _columns(two.groupBy(F.col("v").alias("cell")).agg(*[F.sum(f"c{k}").alias(f"n{k}") for k in (0, 1)], *taken))
         self.first = self._table(firsts, size + 1)
         self.taken = [self._table(firsts, size + 1, f"t{{}}_{i}") for i in range(len(self._pair_discounts()))]
-        self.choice, self.curve = 0, np.zeros(3)
+        self.choice, self.curve, self.levels = 0, np.zeros(3), []
 
     @staticmethod
     def _table(found, size: int, name: str = "n{}") -> np.ndarray:
@@ -146,35 +149,42 @@ class Model:
         """Keep one choice and what it needs."""
         words, pairs = self.choices[choice]
         self.taken = [t for t, d in zip(self.taken, self._pair_discounts()) if np.array_equal(d, pairs)]
-        self.choices, self.choice = [(words, pairs)], 0
+        self.choices, self.choice, self.levels = [(words, pairs)], 0, []
 
-    def _shared(self) -> np.ndarray:
+    @staticmethod
+    def _shared(types: np.ndarray) -> np.ndarray:
         """Continuation counts of stems over both classes, with a little for stems never met."""
-        n = np.maximum(self.types - USUAL, 0)
-        free = max(self.types.sum() - n.sum(), 1.0)
+        n = np.maximum(types - USUAL, 0)
+        free = max(types.sum() - n.sum(), 1.0)
         return (n + free / len(n)) / (n.sum() + free)
 
-    def _word_levels(self, k: int, d: float):
-        """Probability of each stem, and of words what is left of their continuation counts and what goes to stems."""
-        total, types = max(float(self.stem[k].sum()), 1.0), max(float(self.word[k].sum()), 1.0)
-        left = np.maximum(self.stem[k] - d, 0).astype(np.float64)
-        stem = left / total + max(1 - left.sum() / total, 1e-6) * self._shared()
-        left = np.maximum(self.word[k] - d, 0).astype(np.float64)
-        return stem, left / types, max(1 - left.sum() / types, 1e-6)
+    @staticmethod
+    def _left(counts: np.ndarray, d: float) -> np.ndarray:
+        return np.maximum(counts - d, 0).astype(np.float64)
+
+    def _word_levels(self, k: int, d: float) -> tuple[float, float, float, float]:
+        """Of stems and of words: the total, and the share of it that the discount frees for the next level."""
+        out = []
+        for table in (self.stem[k], self.word[k]):
+            total = max(float(table.sum()), 1.0)
+            out += [total, max(1 - self._left(table, d).sum() / total, 1e-6)]
+        return tuple(out)
 
     def prepared(self) -> None:
-        """Work out the levels once per task."""
-        self.levels = [[self._word_levels(k, float(d[k])) for k in (0, 1)] for d, _ in self.choices]
+        """Work out the levels once per task: numbers only, a table for each choice would take most of a worker's memory."""
+        self.levels = self.levels or [[self._word_levels(k, float(d[k])) for k in (0, 1)] for d, _ in self.choices]
 
     def logs(self, t: Tokens, choice: int) -> list[np.ndarray]:
         """Log-probabilities of every word, of the ordinary and of the toxic model."""
         discounts = self._pair_discounts()
-        pair_discount = self.choices[choice][1]
+        word_discount, pair_discount = self.choices[choice]
         taken = next(x for x, d in zip(self.taken, discounts) if np.array_equal(d, pair_discount))
         out = []
         for k in (0, 1):
-            stem, word, spare = self.levels[choice][k]
-            base = word[t.word] + spare * stem[t.stem]
+            total, free, types, spare = self.levels[choice][k]
+            d = float(word_discount[k])
+            stem = self._left(self.stem[k][t.stem], d) / total + free * self.shared[t.stem]
+            base = self._left(self.word[k][t.word], d) / types + spare * stem
             seen = self.first[k][t.before].astype(np.float64)
             two = (np.maximum(self.pair[k][t.pair] - pair_discount[k], 0) + taken[k][t.before] * base) / np.maximum(seen, 1)
             out.append(np.log(np.where(seen > 0, two, base)))
