@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -231,6 +232,28 @@ def test_tfidf_terms_do_not_travel_with_their_texts(spark, tmp_path):
     assert plan.count("Exchange ") == 4 and "Join" not in plan and "Generate" not in plan  # texts (twice in the plan, reused), terms, shared terms
 
 
+def test_tfidf_terms_travel_as_packed_lists_and_numbers_come_back():
+    """A row per block and part, a few bytes a term; where rows of a block come in another order, the lists are the same."""
+    texts = [[f"{a}{b}{len(a) * b % 7}" for a in ("east", "mill", "north") for b in range(i % 60, i % 60 + 40)] for i in range(90)]
+    shared = texts[50][5]
+    words = pa.table({"block": pa.array([3] * 90, pa.int32()), "doc_id": list(range(90)), "words": texts})
+    sent = TX._block_lists(words, 4)
+    assert sent.equals(TX._block_lists(words.take(list(range(89, -1, -1))), 4)) and sent.num_rows <= 4 and set(sent["block"].to_pylist()) == {3}
+    terms = TX._block_terms(words)
+    assert sum(len(v) for c in ("sizes", "spelled", "n") for v in sent[c].to_pylist()) < 0.4 * (terms.nbytes - 4 * terms.num_rows)
+    other = pa.table({"block": pa.array([5] * 3, pa.int32()), "doc_id": [7, 8, 9], "words": [[shared, "é" * 300], [shared, "solo", "é" * 300], None]})
+    both = [TX._block_lists(w, 4) for w in (words, other)]
+    found = [TX._counted_elsewhere(pa.concat_tables([t.filter(pc.equal(t["part"], p)) for t in both])) for p in range(4)]
+    back = pa.concat_tables([f for f in found if f.num_rows])
+    weights = TX._block_weights(other, back.filter(pc.equal(back["block"], 5)), 93, 4).to_pydict()
+    df = sum(shared in t for t in texts) + 2
+    idf = {t: np.log(94 / (1 + n)) + 1 for t, n in ((shared, df), ("é" * 300, 2), ("solo", 1), (shared + " " + "é" * 300, 1), (shared + " solo", 1), ("solo " + "é" * 300, 1))}
+    for d, own in ((7, [shared, "é" * 300, shared + " " + "é" * 300]), (8, [t for t in idf if t != shared + " " + "é" * 300])):
+        norm = np.sqrt(sum(idf[t] ** 2 for t in own))
+        got = {t: w for k, t, w in zip(weights["doc_id"], weights["term"], weights["weight"]) if k == d}
+        assert got == pytest.approx({t: idf[t] / norm for t in own})
+
+
 def test_trends_are_made_of_kept_hours_only(spark):
     """Lags and rolling statistics stand above the window that finds the onset, and take no time apart inside their frames."""
     plan = catalog.QUERIES["wide_features"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString().split("\n")

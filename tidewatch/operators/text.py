@@ -15,6 +15,7 @@ from tidewatch.functions.clock import col
 
 SEPARATOR = " [SEP] "
 BLOCK_BYTES = 1 << 24  # text of one block of `tfidf_texts`
+HASHED = 1 << 16       # terms hashed at a time
 TOKEN = r"[\p{L}\p{N}_]{2,}"  # runs of two or more word characters
 
 
@@ -133,11 +134,78 @@ def _block_terms(words: pa.Table) -> pa.Table:
     return pa.table({"block": pa.repeat(words[0][0], len(terms)), "term": terms, "n": pa.array(n.astype(np.int32))})
 
 
-def _block_weights(words: pa.Table, shared: pa.Table, n_docs: int) -> pa.Table:
-    """(key, term, weight) of a block; `shared` has the df of its terms that other blocks have, too."""
+def _squeezed(values: np.ndarray) -> bytes:
+    """Size and compressed bytes of an array."""
+    return np.int64(values.nbytes).tobytes() + pa.compress(np.ascontiguousarray(values), codec="zstd", asbytes=True)
+
+
+def _spread_out(packed: pa.Scalar, kind: type) -> np.ndarray:
+    buffer = packed.as_buffer()
+    return np.frombuffer(pa.decompress(buffer[8:], int(np.frombuffer(buffer[:8], np.int64)[0]), codec="zstd"), kind)
+
+
+def _spelling(terms: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where the terms begin and end in their bytes, and the bytes."""
+    ends = np.frombuffer(terms.buffers()[1], np.int32)[terms.offset:terms.offset + len(terms) + 1]
+    return ends - ends[0], np.frombuffer(terms.buffers()[2], np.uint8)[ends[0]:ends[-1]]
+
+
+def _term_parts(terms: pa.Array, n: int) -> np.ndarray:
+    """Which of n parts a term belongs to, by a hash of its bytes."""
+    out = []
+    for first in range(0, len(terms), HASHED):
+        ends, spelled = _spelling(terms.slice(first, HASHED))
+        size = np.diff(ends)
+        power = np.cumprod(np.append(np.uint64(1), np.full(size.max() - 1, 0x9E3779B97F4A7C15, np.uint64)))
+        h = np.add.reduceat((spelled + np.uint64(1)) * power[np.arange(len(spelled)) - np.repeat(ends[:-1], size)], ends[:-1])
+        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        out.append((h >> np.uint64(32)) % np.uint64(n))
+    return np.concatenate(out).astype(np.int64) if out else np.zeros(0, np.int64)
+
+
+def _in_parts(terms: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of distinct terms, ordered by part and spelling, and where the parts 0..n-1 begin and end. The order of rows does not matter."""
+    spelled = pc.sort_indices(terms).to_numpy()
+    part = _term_parts(terms, n)[spelled]
+    return spelled[np.argsort(part, kind="stable")], np.concatenate([[0], np.bincount(part, minlength=n).cumsum()])
+
+
+def _block_lists(words: pa.Table, n: int) -> pa.Table:
+    """(part, block, sizes, spelled, n): the terms of a block as one packed list per part, and how many keys of the block have each."""
+    block, terms, count = (c.combine_chunks() for c in _block_terms(words).columns)
+    order, borders = _in_parts(terms, n)
+    terms, count = terms.take(pa.array(order)), count.to_numpy()[order]
+    rows = []
+    for part in np.flatnonzero(np.diff(borders)).tolist():
+        lo, hi = borders[part:part + 2].tolist()
+        ends, spelled = _spelling(terms.slice(lo, hi - lo))
+        rows.append((part, block[0].as_py(), *map(_squeezed, (np.diff(ends), spelled, count[lo:hi]))))
+    columns = list(zip(*rows)) or [()] * 5
+    return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), *[pa.binary()] * 3))], ["part", "block", "sizes", "spelled", "n"])
+
+
+def _counted_elsewhere(lists: pa.Table) -> pa.Table:
+    """(block, part, others): in how many keys of other blocks the terms of each list of a part are, in the list's order."""
+    lists = lists.combine_chunks()
+    terms, counts = [], []
+    for sizes, spelled, n in zip(*(lists[c] for c in ("sizes", "spelled", "n"))):
+        ends = np.append(0, _spread_out(sizes, np.int32).cumsum()).astype(np.int32)
+        terms.append(pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends), pa.py_buffer(_spread_out(spelled, np.uint8))))
+        counts.append(_spread_out(n, np.int32))
+    coded = pa.chunked_array(terms).cast(pa.large_string()).combine_chunks().dictionary_encode()
+    code, count = coded.indices.to_numpy(zero_copy_only=False), np.concatenate(counts)
+    others = (np.bincount(code, count, len(coded.dictionary))[code] - count).astype(np.int32)
+    packed = [_squeezed(o) for o in np.split(others, np.cumsum([len(c) for c in counts])[:-1])]
+    return pa.table([lists["block"], lists["part"], pa.array(packed, pa.binary())], ["block", "part", "others"])
+
+
+def _block_weights(words: pa.Table, elsewhere: pa.Table, n_docs: int, n: int) -> pa.Table:
+    """(key, term, weight) of a block; `elsewhere` has what `_counted_elsewhere` found for its lists."""
     keys, terms, key, term, tf = _counted(words)
     df = np.bincount(term, minlength=len(terms))
-    df[pc.index_in(shared["term"], value_set=terms).to_numpy()] = shared["df"].to_numpy()
+    lists = elsewhere.combine_chunks().sort_by("part")["others"]
+    if len(lists):
+        df[_in_parts(terms, n)[0]] += np.concatenate([_spread_out(o, np.int32) for o in lists])
     raw = (1.0 + np.log(tf)) * (np.log((1.0 + n_docs) / (1.0 + df)) + 1.0)[term]
     norm = np.sqrt(np.bincount(key, raw * raw, len(keys)))
     out = pa.table([keys.take(pa.array(key)), terms.take(pa.array(term)), pa.array(raw / norm[key])],
@@ -149,21 +217,25 @@ def tfidf_texts(df: DataFrame, key: str, text: str) -> DataFrame:
     """`tfidf` of texts with the idf of the same texts, without moving the terms of every text.
 
     Keys are dealt into blocks of about BLOCK_BYTES of text. A block sends each of its terms once, with the number of its keys
-    that have it; those that other blocks have come back with their df. Texts move once and stay. Texts of one key count as one.
+    that have it, as one packed list of sorted terms per part of all terms; what comes back are numbers only, in the order of the
+    lists. Texts move once and stay. Texts of one key count as one.
     """
     n_docs, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()
     n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BLOCK_BYTES))
     block = F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias("block")
     words = df.select(block, key, text).repartitionById(n, F.col("block")).select("block", key, tokens(text).alias("words"))
-    sent = words.groupBy("block").applyInArrow(_block_terms, "block int, term string, n int")
-    of_term = F.sum("n").over(Window.partitionBy("term"))
-    shared = sent.repartition(n, "term").withColumn("df", of_term).filter("df > n").select("block", "term", "df")
 
-    def weigh(mine: pa.Table, others: pa.Table) -> pa.Table:
-        return _block_weights(mine, others, n_docs)
+    def send(mine: pa.Table) -> pa.Table:
+        return _block_lists(mine, n)
+
+    sent = words.groupBy("block").applyInArrow(send, "part int, block int, sizes binary, spelled binary, n binary")
+    counted = sent.repartitionById(n, F.col("part")).groupBy("part").applyInArrow(_counted_elsewhere, "block int, part int, others binary")
+
+    def weigh(mine: pa.Table, elsewhere: pa.Table) -> pa.Table:
+        return _block_weights(mine, elsewhere, n_docs, n)
 
     kind = df.schema[key].dataType.simpleString()
-    return words.groupBy("block").cogroup(shared.repartitionById(n, F.col("block")).groupBy("block")).applyInArrow(
+    return words.groupBy("block").cogroup(counted.repartitionById(n, F.col("block")).groupBy("block")).applyInArrow(
         weigh, f"`{key}` {kind}, term string, weight double")
 
 
