@@ -505,3 +505,34 @@ def test_forest_counts_every_labelled_row_and_cuts_at_the_exact_score(spark):
     gains = [(bad > c).mean() - 2 * (ok > c).mean() if (ok > c).mean() <= 0.01 else -1 for c in middle]
     assert quality_forest.threshold(table) == pytest.approx(middle[int(np.argmax(gains))], abs=1e-12)
     assert quality_forest.threshold(table.where("good")) == quality_forest.threshold(table.where("not good")) == 2.0
+
+
+def test_family_keys_move_once_as_packed_lists(spark):
+    """A row per part and piece, no row per key; documents are connected as the rows (document, key) connect them."""
+    import random as rnd
+
+    import pyarrow as pa
+    rng = rnd.Random(8)
+    rows = [(i % 150 - 20, [rng.getrandbits(64) - 2 ** 63 for _ in range(30)] + [7_000 + rng.randrange(90) for _ in range(i % 3)]) for i in range(180)]
+    rows += [(None, [7_001, 7_002]), (900, None), (901, []), (902, [-5, -5]), (903, [-5]), (10 ** 12, [2 ** 62]), (-10 ** 12, [2 ** 62])]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([i for i, _ in rows if i is not None]),
+                                        "keys": pa.array([k for i, k in rows if i is not None], pa.list_(pa.int64()))})
+    sent = list(ngram_join._key_lists(5)(iter([batch])))
+    assert sum(b.num_rows for b in sent) == 5
+    root = {i: i for i, _ in rows if i is not None}
+
+    def top(i):
+        return i if root[i] == i else top(root[i])
+
+    holders = {}
+    for i, found in rows:
+        for k in found or [] if i is not None else []:
+            holders.setdefault(k, []).append(i)
+    for nodes in holders.values():
+        for i in nodes:
+            a, b = sorted((top(i), top(nodes[0])))
+            root[b] = a
+    want = {i: top(i) for i in root}
+    linked = {i for nodes in holders.values() if len(set(nodes)) > 1 for i in nodes}
+    got = ngram_join.families(spark.createDataFrame(rows, "doc_id long, keys array<long>").repartition(4)).collect()
+    assert len(got) == len(linked) and {r.node: r.root for r in got} == {i: want[i] for i in linked} and 903 in linked and 10 ** 12 in linked

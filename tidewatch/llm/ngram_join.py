@@ -28,11 +28,14 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm import bytetext as bt
 from tidewatch.llm.components import components
+from tidewatch.operators.text import spread_out, squeezed
 from tidewatch.sources.storage import stage
 
 BLOCK = 400_000      # n-grams of a family's block
 AXES = 6             # the points have 2 ** AXES coordinates
 FAN = 16             # entries of a tree node
+KEYS = 1 << 22       # keys of a part that is searched for repeated ones
+PIECE = 1 << 21      # keys that are sorted into parts at a time
 
 
 def shingle_sets(buf: np.ndarray, at: np.ndarray, n: int) -> list[np.ndarray]:
@@ -206,11 +209,48 @@ def _compare(percent: int):
     return run
 
 
+def _key_lists(parts: int):
+    """Keys and the documents that give them, as packed lists by part."""
+    def run(batches):
+        for batch in batches:
+            ids, lists = (batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "keys"))
+            ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            nodes, lo = ids.to_numpy(zero_copy_only=False), 0
+            while lo < len(ends):
+                hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + PIECE, "right")))
+                sizes, found = np.diff(ends[lo:hi], prepend=ends[lo - 1] if lo else 0), lists.slice(lo, hi - lo).flatten()
+                keys, node = found.to_numpy(zero_copy_only=False).view(np.uint64), np.repeat(nodes[lo:hi], sizes)
+                part = (keys % np.uint64(parts)).astype(np.uint16 if parts <= 1 << 16 else np.int64)
+                order, borders = np.argsort(part, kind="stable"), np.cumsum(np.bincount(part, minlength=parts))[:-1]
+                some = [(p, k, v) for p, (k, v) in enumerate(zip(np.split(keys[order], borders), np.split(node[order], borders))) if len(k)]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([p for p, _, _ in some], pa.int32()), pa.array([k.tobytes() for _, k, _ in some], pa.binary()),
+                    pa.array([squeezed(np.diff(v, prepend=np.int64(0))) for _, _, v in some], pa.binary())], names=["part", "keys", "nodes"])
+                lo = hi
+    return run
+
+
+def _shared(lists: pa.Table) -> pa.Table:
+    """(a, b): each document that gives a key of the part, next to the smallest one that gives it, too."""
+    keys = np.concatenate([np.frombuffer(k.as_buffer(), np.uint64) for k in lists["keys"]])
+    nodes = np.concatenate([spread_out(v, np.int64).cumsum() for v in lists["nodes"]])
+    order = np.argsort(keys)
+    keys, nodes = keys[order], nodes[order]
+    first = np.append(True, keys[1:] != keys[:-1])
+    again = ~(first & np.append(first[1:], True))       # of keys that occur more than once
+    nodes, first = nodes[again], first[again]
+    at = np.flatnonzero(first)
+    hub = np.repeat(np.minimum.reduceat(nodes, at), np.diff(np.append(at, len(nodes)))) if len(at) else nodes
+    return pa.table({"a": hub[hub != nodes], "b": nodes[hub != nodes]})
+
+
 def families(sketches: DataFrame) -> DataFrame:
-    """node, root for the documents that share a key with another."""
-    holders = sketches.where("doc_id is not null").select("doc_id", F.explode("keys").alias("key"))
-    cells = holders.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("other")).where("hub < other").select("key", "hub")
-    return components(holders.join(cells, "key").where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")))
+    """node, root for the documents that share a key with another. Keys move once, as packed lists: most occur once and go no further."""
+    holders = sketches.where("doc_id is not null").select("doc_id", "keys")
+    total = holders.agg(F.coalesce(F.sum(F.size("keys")), F.lit(0))).first()[0]
+    parts = max(int(sketches.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // KEYS))
+    lists = holders.mapInArrow(_key_lists(parts), "part int, keys binary, nodes binary").repartitionById(parts, F.col("part"))
+    return components(lists.groupBy("part").applyInArrow(_shared, "a long, b long"))
 
 
 def join(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
